@@ -34,6 +34,15 @@ def missing_classes(df: DataFrame) -> DataFrame:
     return domain.join(df.select("severity").distinct(), "severity", "left_anti")
 
 
+def missing_classes_by(df: DataFrame, group: str) -> DataFrame:
+    """For each value of ``group``, the classes of the domain that none of its rows has."""
+    present = df.where(F.col(group).isNotNull()).groupBy(group).agg(
+        *[F.count_if(F.col("severity") == s).alias(s) for s in C.SEVERITIES]
+    )
+    classes = F.array(*[F.struct(F.lit(s).alias("severity"), F.col(s).alias("n")) for s in C.SEVERITIES])
+    return present.select(group, F.inline(classes)).where(F.col("n") == 0).drop("n")
+
+
 def validate(df: DataFrame) -> None:
     """Raise unless ``df`` has the columns, rows, labels and coordinates it must have."""
     absent = sorted(set(C.RECORD_COLUMNS) - set(df.columns))
