@@ -141,8 +141,70 @@ FROM featured f""",
     ) + " FROM featured",
 }
 
+# Neighbour pairs by brute force inside blocks of 0.014 by 0.03 degrees, each
+# with the eight blocks around it: both sides exceed 1.5 km south of 63 degrees.
+# Components are taken over blocks of 1 km, within which all points are near.
+_NEAR = """2 * 6371.0088 * asin(least(1.0, sqrt(sin((q.phi - p.phi) / 2) ** 2
+    + cos(p.phi) * cos(q.phi) * sin((q.lam - p.lam) / 2) ** 2))) <= 1.5"""
+STEPS |= {
+    "points": """
+SELECT CAST(row_number() OVER (ORDER BY accident_id) AS INTEGER) AS rid, accident_id, severity, city,
+       latitude, longitude, radians(latitude) AS phi, radians(longitude) AS lam,
+       CAST(floor(latitude / 0.014) AS INTEGER) AS gy, CAST(floor(longitude / 0.03) AS INTEGER) AS gx,
+       CAST(floor(latitude / 0.0089) AS BIGINT) * 1000000 + CAST(floor(longitude / 0.0139) AS BIGINT) AS block
+FROM cleaned""",
+    "around": """
+SELECT p.*, p.gy + dy.d AS ny, p.gx + dx.d AS nx FROM points p
+CROSS JOIN (VALUES (-1), (0), (1)) dy(d) CROSS JOIN (VALUES (-1), (0), (1)) dx(d)""",
+    "cores": f"""
+SELECT p.rid FROM around p JOIN points q ON p.ny = q.gy AND p.nx = q.gx AND {_NEAR}
+GROUP BY p.rid HAVING count(*) >= 8""",
+    "core_points": "SELECT * FROM points WHERE rid IN (SELECT rid FROM cores)",
+    "core_around": "SELECT * FROM around WHERE rid IN (SELECT rid FROM cores)",
+    "links": f"""
+SELECT DISTINCT p.block AS a, q.block AS b FROM core_around p
+JOIN core_points q ON p.ny = q.gy AND p.nx = q.gx AND {_NEAR}""",
+    "reach": """
+SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a""",
+    "numbered": """
+SELECT r.a AS block, CAST(dense_rank() OVER (ORDER BY min(f.first)) - 1 AS INTEGER) AS cluster
+FROM reach r JOIN (SELECT block, min(rid) AS first FROM core_points GROUP BY 1) f ON r.b = f.block
+GROUP BY r.a""",
+    "border": f"""
+SELECT p.rid, min(n.cluster) AS cluster
+FROM (SELECT * FROM around WHERE rid NOT IN (SELECT rid FROM cores)) p
+JOIN core_points q ON p.ny = q.gy AND p.nx = q.gx AND {_NEAR}
+JOIN numbered n ON n.block = q.block GROUP BY 1""",
+    "clustered": """
+SELECT p.*, coalesce(n.cluster, b.cluster, -1) AS cluster FROM points p
+LEFT JOIN core_points c ON c.rid = p.rid LEFT JOIN numbered n ON n.block = c.block
+LEFT JOIN border b ON b.rid = p.rid""",
+    "hotspots": f"""
+SELECT *, row_number() OVER (ORDER BY severity_weighted_score DESC, cluster) AS rank FROM (
+  SELECT cluster, CAST(sum(n) AS BIGINT) AS n_accidents, CAST(sum(fatal) AS BIGINT) AS fatal_count,
+         CAST(sum(serious) AS BIGINT) AS serious_count, sum(lat) / sum(n) AS centroid_lat,
+         sum(lon) / sum(n) AS centroid_lon, first(city ORDER BY n DESC, city) AS dominant_district,
+         CAST(sum(weight) AS BIGINT) AS severity_weighted_score
+  FROM (SELECT cluster, city, count(*) AS n, count(*) FILTER (WHERE severity = 'Fatal') AS fatal,
+               count(*) FILTER (WHERE severity = 'Serious') AS serious, sum(latitude) AS lat,
+               sum(longitude) AS lon, sum({_RISK}) AS weight
+        FROM clustered WHERE cluster >= 0 GROUP BY 1, 2)
+  GROUP BY cluster ORDER BY severity_weighted_score DESC, cluster LIMIT 25)""",
+}
+
 # what each step reads
 _NEEDS = {
+    "points": ["cleaned"],
+    "around": ["points"],
+    "cores": ["around"],
+    "core_points": ["cores"],
+    "core_around": ["cores"],
+    "links": ["core_around", "core_points"],
+    "reach": ["links"],
+    "numbered": ["reach"],
+    "border": ["numbered"],
+    "clustered": ["border"],
+    "hotspots": ["clustered"],
     "codes": ["district_rows"],
     "decoded": ["raw_collisions"],
     "prepared": ["decoded", "codes"],
@@ -351,4 +413,37 @@ ORDER BY md5(coalesce(accident_id, '') || ':42'), accident_id NULLS LAST LIMIT 4
               UNION ALL SELECT 2, label = 2, p2 FROM standin))
   GROUP BY class)""",
     )
+
+    # --- places ---
+    sql["q_core_points"] = _sql(
+        "cores",
+        "SELECT accident_id, CAST(rid IN (SELECT rid FROM cores) AS INTEGER) AS is_core FROM points",
+    )
+    sql["q_dbscan"] = _sql("clustered", "SELECT accident_id, cluster FROM clustered", recursive=True)
+    sql["q_cluster_counts"] = _sql(
+        "clustered",
+        """SELECT count(DISTINCT cluster) FILTER (WHERE cluster >= 0) AS n_clusters,
+ count(*) FILTER (WHERE cluster = -1) AS n_noise, count(*) FILTER (WHERE cluster >= 0) AS n_members,
+ count(*) FILTER (WHERE cluster = -2) AS n_not_clustered FROM clustered""",
+        recursive=True,
+    )
+    sql["q_hotspots"] = _sql(
+        "hotspots",
+        """SELECT cluster, n_accidents, fatal_count, serious_count, round(centroid_lat, 6) AS centroid_lat,
+ round(centroid_lon, 6) AS centroid_lon, dominant_district, severity_weighted_score, rank FROM hotspots""",
+        recursive=True,
+    )
+    sql["q_hotspot_layer"] = _sql(
+        "hotspots",
+        """SELECT rank, round(centroid_lat, 6) AS centroid_lat, round(centroid_lon, 6) AS centroid_lon,
+ round(6 + least(severity_weighted_score / 200.0, 14.0), 6) AS radius,
+ CASE WHEN rank <= 5 THEN 'darkred' ELSE 'orange' END AS color,
+ 'Rank #' || rank || '<br>District: ' || dominant_district || '<br>Accidents: ' || n_accidents
+   || '<br>Fatal: ' || fatal_count || '<br>Serious: ' || serious_count
+   || '<br>Weighted score: ' || severity_weighted_score AS popup,
+ round((SELECT avg(centroid_lat) FROM hotspots WHERE rank <= 15), 6) AS map_lat,
+ round((SELECT avg(centroid_lon) FROM hotspots WHERE rank <= 15), 6) AS map_lon
+FROM hotspots WHERE rank <= 15""",
+        recursive=True,
+    )
     return sql

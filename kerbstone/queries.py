@@ -12,6 +12,8 @@ from kerbstone.functions.scalars import recall_oriented
 from kerbstone.operators import (
     checks, clean, decode, features, hotspots, metrics, profile, risk, sampling,
 )
+from kerbstone.operators.spatial import dbscan as density
+from kerbstone.plans.cut import cut
 from kerbstone.sources import raw, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,3 +263,45 @@ def q_auc_ovr(spark, folder):
     return _rounded(
         metrics.auc_one_vs_rest(standin_predictions(spark, folder)), ["roc_auc_ovr"]
     )
+
+
+# --- places -------------------------------------------------------------------
+
+
+def _located(spark, folder):
+    """The stored cleaned records, as several passes read them."""
+    return cut(
+        cleaned(spark, folder).select("accident_id", "latitude", "longitude", "severity", "city")
+    )
+
+
+def _clustered(spark, folder):
+    rows = _located(spark, folder)
+    return rows.join(density.dbscan(rows), "accident_id")
+
+
+@query
+def q_core_points(spark, folder):
+    return density.core_points(_located(spark, folder))
+
+
+@query
+def q_dbscan(spark, folder):
+    return density.dbscan(_located(spark, folder))
+
+
+@query
+def q_cluster_counts(spark, folder):
+    return density.cluster_counts(density.dbscan(_located(spark, folder)))
+
+
+@query
+def q_hotspots(spark, folder):
+    ranked = hotspots.rank_hotspots(_clustered(spark, folder))
+    return _rounded(ranked, ["centroid_lat", "centroid_lon"])
+
+
+@query
+def q_hotspot_layer(spark, folder):
+    layer = hotspots.hotspot_layer(cut(hotspots.rank_hotspots(_clustered(spark, folder))))
+    return _rounded(layer, ["centroid_lat", "centroid_lon", "radius", "map_lat", "map_lon"])
