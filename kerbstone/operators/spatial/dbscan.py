@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from kerbstone import constants as C
 from kerbstone.functions.scalars import in_range
-from kerbstone.operators.spatial.grid import BOX, Grid, box_bounds, boxes
+from kerbstone.operators.spatial.grid import (
+    BOX, LAST_LEVEL, Grid, any_near, box_bounds, boxes, outermost,
+)
 from kerbstone.plans.components import connected_components
 from kerbstone.plans.cut import cut
 from kerbstone.plans.order import global_index
@@ -35,9 +37,9 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def _split(pairs: DataFrame, side: str, sites: DataFrame, level: int) -> DataFrame:
-    """Replace one side's box by its occupied boxes of the next level."""
-    children = _renamed(boxes(sites, level), "c_")
+def _split(pairs: DataFrame, side: str, children: DataFrame) -> DataFrame:
+    """Replace one side's box by the occupied boxes inside it."""
+    children = _renamed(children, "c_")
     kept = [c for c in pairs.columns if not c.startswith(side) or c == f"{side}key"]
     match = (
         (F.col(f"{side}key") == F.col("c_key"))
@@ -49,20 +51,27 @@ def _split(pairs: DataFrame, side: str, sites: DataFrame, level: int) -> DataFra
     )
 
 
+# Open pairs of boxes holding no more than this many pairs of points between
+# them are compared point by point instead of being split further.
+DIRECT_PAIRS = 5_000_000
+
+
 def settle(
     pairs: DataFrame,
     group: list[str],
     limit: float,
     right: DataFrame,
     left: DataFrame | None = None,
+    direct_pairs: int = DIRECT_PAIRS,
 ) -> DataFrame:
     """The groups of box pairs that have at least ``need`` near points.
 
-    A pair has a left box (``l_``), a right box (``r_``) with ``r_n`` points,
-    and its group's ``need``. Points of a right box count when the two boxes
-    are near as a whole; pairs that may or may not be are split, the right box
-    into the boxes of ``right`` and the left one into those of ``left`` unless
-    it is a point. A group whose answer is known is not looked at again.
+    A pair has a left box (``l_``), a right box (``r_``), both with their
+    number of points, and its group's ``need``. Points of a right box count
+    when the two boxes are near as a whole; pairs that may or may not be are
+    split, the right box into the boxes of ``right`` and the left one into
+    those of ``left`` unless it is a point. A group whose answer is known is
+    not looked at again.
     """
     least, most = box_bounds("l_", "r_")
     hits = []
@@ -83,13 +92,17 @@ def settle(
         still_open = groups.where(
             (F.col("_sure") < F.col("need")) & (F.col("_possible") >= F.col("need"))
         ).select(*group, (F.col("need") - F.col("_sure")).alias("need"))
-        rest = cut(judged.where(~F.col("_near")).drop("need", "_near").join(still_open, group))
-        if rest.isEmpty():
+        rest = judged.where(~F.col("_near")).drop("need", "_near").join(still_open, group)
+        product = F.col("l_n").cast("double") * F.col("r_n")
+        n_open, work = rest.agg(F.count("*"), F.sum(product)).first()
+        if not n_open:
             return reduce(DataFrame.union, hits)
-        level += 1
-        pairs = _split(rest, "r_", right, level)
+        before, level = level, level + 1
+        if work <= direct_pairs:
+            level = LAST_LEVEL + 1
+        pairs = _split(rest, "r_", boxes(right, level, before))
         if left is not None:
-            pairs = _split(pairs, "l_", left, level)
+            pairs = _split(pairs, "l_", boxes(left, level, before))
 
 
 def sites_of(points: DataFrame, grid: Grid, id_column: str) -> DataFrame:
@@ -128,6 +141,7 @@ def _point_box(df: DataFrame) -> DataFrame:
         F.col("phi").alias("l_phi_hi"),
         F.col("lam").alias("l_lam_lo"),
         F.col("lam").alias("l_lam_hi"),
+        F.lit(1).cast("bigint").alias("l_n"),
         "need",
     )
 
@@ -225,6 +239,7 @@ def dbscan(
         F.min("lam").alias("lam_lo"),
         F.max("lam").alias("lam_hi"),
         F.min("first_id").alias("first_id"),
+        outermost().alias("outer"),
     ]
     nodes = cut(
         tree.groupBy("cell", "key")
@@ -232,17 +247,23 @@ def dbscan(
         .where((F.col("key") < 0) | (F.col("n") >= min_samples))
         .withColumns({"i": F.lit(0.0), "j": F.lit(0.0)})
     )
-    sides = nodes.drop("first_id")
-    right = _renamed(sides, "r_")
-    pairs = (
+    # Neighbouring cells whose outermost sites are near need no further look.
+    near = any_near("l_outer", "r_outer", grid.limit)
+    found = nodes.drop("first_id")
+    candidates = cut(
         grid.nearby_cells(
-            _renamed(sides, "l_").withColumn("need", F.lit(1).cast("bigint")), "_cell", "l_"
+            _renamed(found, "l_").withColumn("need", F.lit(1).cast("bigint")), "_cell", "l_"
         )
         .where(F.col("_cell") > F.col("l_cell"))
-        .join(right, F.col("_cell") == F.col("r_cell"))
-        .drop("_cell", "l_cell", "r_cell")
+        .join(_renamed(found, "r_"), F.col("_cell") == F.col("r_cell"))
+        .withColumn("linked", near)
+        .drop("_cell", "l_cell", "r_cell", "l_outer", "r_outer")
+    )
+    linked = candidates.where("linked").select("l_key", "r_key")
+    unclear = candidates.where("not linked").drop("linked")
+    edges = linked.union(
+        settle(unclear, ["l_key", "r_key"], grid.limit, right=tree, left=tree)
     )
-    edges = settle(pairs, ["l_key", "r_key"], grid.limit, right=tree, left=tree)
     components = connected_components(
         nodes, edges.select(F.col("l_key").alias("a"), F.col("r_key").alias("b"))
     )
@@ -260,7 +281,9 @@ def dbscan(
     probes = _point_box(outside.withColumn("need", F.lit(1).cast("bigint")))
     border_pairs = (
         grid.nearby_cells(probes, "_cell", "l_")
-        .join(right, F.col("_cell") == F.col("r_cell"))
+        .join(
+            _renamed(nodes.drop("first_id", "outer"), "r_"), F.col("_cell") == F.col("r_cell")
+        )
         .drop("_cell", "r_cell")
     )
     touches = settle(border_pairs, [*SITE, "r_key"], grid.limit, right=tree)

@@ -160,13 +160,14 @@ def _level_place(level: int) -> tuple[Column, Column]:
     return F.floor(F.col("u") * scale).cast("double"), F.floor(F.col("v") * scale).cast("double")
 
 
-def boxes(sites: DataFrame, level: int) -> DataFrame:
+def boxes(sites: DataFrame, level: int, parent: int | None = None) -> DataFrame:
     """The occupied boxes of a level: key, parent (pi, pj), name (i, j), rows and extent.
 
-    Level 0 is the cell. ``sites`` has ``key`` (its cell), ``n`` and the place.
+    Level 0 is the cell; ``parent`` is the level before unless given. ``sites``
+    has ``key`` (its cell), ``n`` and the place.
     """
     i, j = _level_place(level)
-    pi, pj = _level_place(max(level - 1, 0))
+    pi, pj = _level_place(max(level - 1, 0) if parent is None else parent)
     return (
         sites.groupBy("key", pi.alias("pi"), pj.alias("pj"), i.alias("i"), j.alias("j"))
         .agg(
@@ -177,3 +178,29 @@ def boxes(sites: DataFrame, level: int) -> DataFrame:
             F.max("lam").alias("lam_hi"),
         )
     )
+
+
+# Directions in which a cell's outermost sites are remembered, as (phi, lam) signs.
+OUTWARD = [(1, 0), (-1, 0), (0, 1), (0, -1), (1, 1), (1, -1), (-1, 1), (-1, -1)]
+
+
+def outermost(places: tuple[str, str] = ("u", "v")) -> Column:
+    """Aggregate: the sites farthest out in each direction, as an array of points."""
+    u, v = (F.col(c) for c in places)
+    site = F.struct("phi", "lam")
+    return F.array_distinct(
+        F.array(*[F.max_by(site, u * du + v * dv) for du, dv in OUTWARD])
+    )
+
+
+def any_near(left: str, right: str, limit: float) -> Column:
+    """Whether two arrays of points have a near pair."""
+
+    def half_chord(p: Column, q: Column) -> Column:
+        return _sin2(q["phi"] - p["phi"]) + F.cos(p["phi"]) * F.cos(q["phi"]) * _sin2(
+            q["lam"] - p["lam"]
+        )
+
+    return F.exists(
+        left, lambda p: F.exists(right, lambda q: half_chord(p, q) <= limit)
+    )

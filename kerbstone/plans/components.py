@@ -28,10 +28,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .groupBy("a")
             .agg(F.min("label").alias("_near"))
         )
-        state = cut(
-            labels.join(seen, F.col("key") == F.col("a"), "left").select(
-                "key", "label", F.least("label", "_near").alias("near")
-            )
+        state = labels.join(seen, F.col("key") == F.col("a"), "left").select(
+            "key", "label", F.least("label", "_near").alias("near")
         )
         found = state.groupBy("label").agg(F.min("near").alias("_low"))
         own = state.select(F.col("key").alias("label"), F.col("near").alias("_own"))
