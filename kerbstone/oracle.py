@@ -179,6 +179,14 @@ JOIN numbered n ON n.block = q.block GROUP BY 1""",
 SELECT p.*, coalesce(n.cluster, b.cluster, -1) AS cluster FROM points p
 LEFT JOIN core_points c ON c.rid = p.rid LEFT JOIN numbered n ON n.block = c.block
 LEFT JOIN border b ON b.rid = p.rid""",
+    "zones": """
+SELECT accident_id, latitude, longitude, first(cluster ORDER BY d, cluster) AS cluster FROM (
+  SELECT c.accident_id, c.latitude, c.longitude, k.cluster,
+         (latitude - centre_lat) * (latitude - centre_lat) + (longitude - centre_lon) * (longitude - centre_lon) AS d
+  FROM cleaned c CROSS JOIN (
+    SELECT city AS cluster, round(avg(latitude), 6) AS centre_lat, round(avg(longitude), 6) AS centre_lon
+    FROM cleaned GROUP BY 1) k)
+GROUP BY 1, 2, 3""",
     "hotspots": f"""
 SELECT *, row_number() OVER (ORDER BY severity_weighted_score DESC, cluster) AS rank FROM (
   SELECT cluster, CAST(sum(n) AS BIGINT) AS n_accidents, CAST(sum(fatal) AS BIGINT) AS fatal_count,
@@ -205,6 +213,7 @@ _NEEDS = {
     "border": ["numbered"],
     "clustered": ["border"],
     "hotspots": ["clustered"],
+    "zones": ["cleaned"],
     "codes": ["district_rows"],
     "decoded": ["raw_collisions"],
     "prepared": ["decoded", "codes"],
@@ -446,4 +455,36 @@ ORDER BY md5(coalesce(accident_id, '') || ':42'), accident_id NULLS LAST LIMIT 4
 FROM hotspots WHERE rank <= 15""",
         recursive=True,
     )
+    sql["q_nearest_centroid"] = _sql("zones", "SELECT accident_id, cluster FROM zones")
+    sql["q_silhouette"] = _sql(
+        "zones",
+        """SELECT round(avg(CASE WHEN n_own = 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM (
+  SELECT id, max(n) FILTER (WHERE same) AS n_own,
+         max(CASE WHEN n > 1 THEN total / (n - 1) ELSE 0.0 END) FILTER (WHERE same) AS a,
+         min(total / n) FILTER (WHERE NOT same) AS b
+  FROM (
+    SELECT p.accident_id AS id, p.cluster = q.cluster AS same, q.cluster, count(*) AS n,
+           sum(sqrt((p.latitude - q.latitude) ** 2 + (p.longitude - q.longitude) ** 2)) AS total
+    FROM picked p CROSS JOIN picked q GROUP BY 1, 2, 3)
+  GROUP BY id)""",
+        more={
+            "picked": """SELECT * FROM zones
+ORDER BY md5(coalesce(accident_id, '') || ':42'), accident_id NULLS LAST LIMIT 5000"""
+        },
+    )
+    sql["q_kde_grid"] = _sql(
+        "cleaned",
+        """SELECT gi, gj, round(lat0 + gi * (lat1 - lat0) / 59, 6) AS lat, round(lon0 + gj * (lon1 - lon0) / 59, 6) AS lon,
+ round(sum(exp(-(((latitude - (lat0 + gi * (lat1 - lat0) / 59)) * 110.574) ** 2
+   + ((longitude - (lon0 + gj * (lon1 - lon0) / 59)) * cos(radians(mean)) * 111.320) ** 2) / 8.0)) / (n * 8 * pi()), 10) AS density
+FROM cleaned CROSS JOIN e
+CROSS JOIN (SELECT CAST(i AS INTEGER) AS gi FROM range(60) r(i)) x
+CROSS JOIN (SELECT CAST(i AS INTEGER) AS gj FROM range(60) r(i)) y
+GROUP BY gi, gj, lat0, lat1, lon0, lon1, n""",
+        more={
+            "e": """SELECT count(*) AS n, avg(latitude) AS mean, min(latitude) AS lat0, max(latitude) AS lat1,
+ min(longitude) AS lon0, max(longitude) AS lon1 FROM cleaned"""
+        },
+    )
     return sql

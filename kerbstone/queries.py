@@ -13,6 +13,8 @@ from kerbstone.operators import (
     checks, clean, decode, features, hotspots, metrics, profile, risk, sampling,
 )
 from kerbstone.operators.spatial import dbscan as density
+from kerbstone.operators.spatial import kde, kmeans
+from kerbstone.operators.spatial import silhouette as silhouettes
 from kerbstone.plans.cut import cut
 from kerbstone.sources import raw, tables
 
@@ -305,3 +307,42 @@ def q_hotspots(spark, folder):
 def q_hotspot_layer(spark, folder):
     layer = hotspots.hotspot_layer(cut(hotspots.rank_hotspots(_clustered(spark, folder))))
     return _rounded(layer, ["centroid_lat", "centroid_lon", "radius", "map_lat", "map_lon"])
+
+
+def _district_centres(rows: DataFrame) -> DataFrame:
+    """Mean coordinate of each district, numbered by name."""
+    means = rows.groupBy("city").agg(
+        F.avg("latitude").alias("centre_lat"), F.avg("longitude").alias("centre_lon")
+    )
+    return means.select(
+        F.col("city").alias("cluster"),
+        F.round("centre_lat", 6).alias("centre_lat"),
+        F.round("centre_lon", 6).alias("centre_lon"),
+    )
+
+
+@query
+def q_kmeans(spark, folder):
+    rows = _located(spark, folder)
+    return kmeans.kmeans_labels(kmeans.fit_kmeans(rows), rows)
+
+
+@query
+def q_nearest_centroid(spark, folder):
+    rows = _located(spark, folder)
+    return kmeans.nearest_centroid(rows, _district_centres(rows)).select("accident_id", "cluster")
+
+
+@query
+def q_silhouette(spark, folder):
+    rows = _located(spark, folder)
+    zones = kmeans.nearest_centroid(rows, _district_centres(rows))
+    return _rounded(
+        silhouettes.silhouette(zones, "latitude", "longitude", "cluster"), ["silhouette"]
+    )
+
+
+@query
+def q_kde_grid(spark, folder):
+    grid = kde.density_grid(_located(spark, folder))
+    return _rounded(_rounded(grid, ["lat", "lon"]), ["density"], 10)
