@@ -487,4 +487,42 @@ GROUP BY gi, gj, lat0, lat1, lon0, lon1, n""",
  min(longitude) AS lon0, max(longitude) AS lon1 FROM cleaned"""
         },
     )
+
+    # --- encoding and balancing ---
+    z = {c: f"round(({c} - mu_{c}) / sd_{c}, 6)" for c in C.NUMERIC_FEATURES}
+    sql["q_scaled"] = _sql(
+        "featured scale",
+        "SELECT accident_id, " + ", ".join(f"{e} AS num__{c}" for c, e in z.items())
+        + " FROM featured, scale",
+    )
+    sql["q_encode"] = _sql(
+        "featured scale",
+        "\nUNION ALL ".join(
+            [
+                f"SELECT accident_id, 'cat__{c}_' || {c} AS feature, CAST(1 AS DOUBLE) AS value FROM featured"
+                for c in C.CATEGORICAL_FEATURES
+            ]
+            + [
+                f"SELECT accident_id, 'num__{c}', {e} FROM featured, scale"
+                for c, e in z.items()
+            ]
+        ),
+    )
+    sql["q_knn_class"] = """
+SELECT vec_id, rank, neighbour, round(d, 6) AS distance FROM (
+  SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.e, b.e) AS d,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS rank
+  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) a
+  JOIN (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) b
+    ON a.label = b.label AND a.vec_id <> b.vec_id)
+WHERE rank <= 5"""
+    sql["q_smote_counts"] = _sql(
+        "ranked",
+        f"""SELECT label, n_real, (SELECT max(n_real) FROM sizes) - n_real AS n_synthetic,
+ (SELECT max(n_real) FROM sizes) AS n_total FROM sizes""",
+        more={
+            "sizes": f"""SELECT {_LABEL} AS label, count(*) AS n_real FROM ranked
+WHERE class_rank > floor(class_size * CAST(0.2 AS DOUBLE) + 0.5) GROUP BY 1"""
+        },
+    )
     return sql

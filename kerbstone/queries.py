@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from kerbstone.functions.scalars import recall_oriented
 from kerbstone.operators import (
     checks, clean, decode, features, hotspots, metrics, profile, risk, sampling,
 )
+from kerbstone.operators.ml import encode, knn, smote
 from kerbstone.operators.spatial import dbscan as density
 from kerbstone.operators.spatial import kde, kmeans
 from kerbstone.operators.spatial import silhouette as silhouettes
@@ -346,3 +348,74 @@ def q_silhouette(spark, folder):
 def q_kde_grid(spark, folder):
     grid = kde.density_grid(_located(spark, folder))
     return _rounded(_rounded(grid, ["lat", "lon"]), ["density"], 10)
+
+
+# --- encoding and balancing ----------------------------------------------------
+
+
+def _model_table(spark, folder):
+    """The stored model table, as several passes read it."""
+    return cut(features.model_table(featured(spark, folder)))
+
+
+def _training_rows(table: DataFrame) -> DataFrame:
+    """The training side of the split, ranked 1, 2, ... inside each class."""
+    split = sampling.stratified_split(table)
+    return cut(
+        split.where(F.col("is_test") == 0)
+        .withColumn("train_rank", F.col("class_rank") - F.col("n_test"))
+        .drop("class_rank", "class_size", "n_test", "is_test")
+    )
+
+
+@query
+def q_scaled(spark, folder):
+    table = _model_table(spark, folder)
+    rows = encode.scaled(table, encode.scales(table))
+    names = [f"num__{c}" for c in C.NUMERIC_FEATURES]
+    return _rounded(rows.select("accident_id", *names), names)
+
+
+@query
+def q_encode(spark, folder):
+    table = _model_table(spark, folder)
+    encoder = encode.fit_encoder(table)
+    return _rounded(encode.slots(encoder, encode.encode(encoder, table)), ["value"])
+
+
+@query
+def q_knn_class(spark, folder):
+    rows = tables.table(spark, folder, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding")
+    )
+    near = knn.nearest_in_class(rows, rows, "vec_id", "label", 5, [], "embedding")
+    return near.select("vec_id", "rank", "neighbour", F.round("distance", 6).alias("distance"))
+
+
+@query
+def q_smote(spark, folder):
+    train = _training_rows(_model_table(spark, folder))
+    near = cut(smote.with_neighbours(smote.profiles(train), encode.scales(train)))
+    made = smote.interpolate(encode.fit_encoder(train), smote.synthetic_rows(near))
+    return made.select(
+        "profile", "label", "copy",
+        F.round(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x), 6)
+        .alias("slot_sum"),
+    )
+
+
+@query
+def q_smote_counts(spark, folder):
+    train = _training_rows(_model_table(spark, folder))
+    distinct = smote.profiles(train)
+    near = distinct.withColumn(
+        "near", F.array(F.struct("profile", *C.FEATURES))
+    )
+    synthetic = smote.synthetic_rows(near).groupBy("label").agg(F.count("*").alias("n_synthetic"))
+    real = train.groupBy("label").agg(F.count("*").alias("n_real"))
+    return real.join(synthetic, "label", "left").select(
+        "label",
+        "n_real",
+        F.coalesce("n_synthetic", F.lit(0)).alias("n_synthetic"),
+        (F.col("n_real") + F.coalesce("n_synthetic", F.lit(0))).alias("n_total"),
+    )
