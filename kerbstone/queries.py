@@ -13,7 +13,8 @@ from kerbstone.functions.scalars import recall_oriented
 from kerbstone.operators import (
     checks, clean, decode, features, hotspots, metrics, profile, risk, sampling,
 )
-from kerbstone.operators.ml import encode, knn, smote
+from kerbstone.operators.ml import classifiers, encode, knn, risk_model, smote, training
+from kerbstone.operators.ml.boosting import BoostingPreset
 from kerbstone.operators.spatial import dbscan as density
 from kerbstone.operators.spatial import kde, kmeans
 from kerbstone.operators.spatial import silhouette as silhouettes
@@ -419,3 +420,98 @@ def q_smote_counts(spark, folder):
         F.coalesce("n_synthetic", F.lit(0)).alias("n_synthetic"),
         (F.col("n_real") + F.coalesce("n_synthetic", F.lit(0))).alias("n_total"),
     )
+
+
+# --- models --------------------------------------------------------------------
+
+# Smaller than the full presets, so that all models can be compared in one sitting.
+QUICK = classifiers.Presets(
+    iterations=200,
+    forest_trees=20,
+    forest_depth=8,
+    depthwise=BoostingPreset(rounds=5, depth=6, rate=0.3),
+    leafwise=BoostingPreset(rounds=5, depth=8, rate=0.3, min_rows_per_leaf=20),
+)
+
+
+def _fitted(spark, folder, name):
+    parts = training.split(_model_table(spark, folder))
+    encoder, rows = training.balanced_training(parts.train)
+    return parts, classifiers.attach(encoder, classifiers.fit_classifier(name, rows, QUICK))
+
+
+def _test_scores(spark, folder, name):
+    parts, model = _fitted(spark, folder, name)
+    p = F.col("probabilities")
+    return classifiers.score(model, parts.test).select(
+        "accident_id", "label", "prediction",
+        *[F.round(p[i], 6).alias(f"p_{s.lower()}") for i, s in enumerate(C.SEVERITIES)],
+    )
+
+
+@query
+def q_lr(spark, folder):
+    return _test_scores(spark, folder, "logistic_regression")
+
+
+@query
+def q_rf(spark, folder):
+    return _test_scores(spark, folder, "random_forest")
+
+
+@query
+def q_gbt(spark, folder):
+    return _test_scores(spark, folder, "boosted_depthwise")
+
+
+@query
+def q_benchmark(spark, folder):
+    parts = training.split(_model_table(spark, folder))
+    return training.train_and_evaluate(parts, presets=QUICK).results
+
+
+@query
+def q_model_ranking(spark, folder):
+    parts = training.split(_model_table(spark, folder))
+    run = training.train_and_evaluate(
+        parts, ["logistic_regression", "random_forest"], presets=QUICK
+    )
+    return run.ranking().select("model", "fatal_recall", "macro_f1")
+
+
+@query
+def q_cv(spark, folder):
+    return training.cross_validate(_model_table(spark, folder), "logistic_regression", presets=QUICK)
+
+
+@query
+def q_severity_scores(spark, folder):
+    table = _model_table(spark, folder)
+    parts = training.split(table)
+    encoder, rows = training.balanced_training(parts.train)
+    model = classifiers.attach(
+        encoder, classifiers.fit_classifier("logistic_regression", rows, QUICK)
+    )
+    scored = classifiers.severity_scores(model, table)
+    return scored.select(
+        "accident_id",
+        *[F.round(F.col("probabilities")[s], 6).alias(f"p_{s.lower()}") for s in C.SEVERITIES],
+        "argmax_prediction", "recall_oriented_prediction",
+    )
+
+
+@query
+def q_risk_model(spark, folder):
+    lookup = cut(risk.risk_lookup(featured(spark, folder)))
+    model = risk_model.fit_risk_model(lookup, trees=30)
+    fitted = risk_model.score_segments(model, lookup)
+    return lookup.select(*C.SEGMENT_KEYS, "n_accidents", F.col("risk_score").alias("observed")).join(
+        fitted, C.SEGMENT_KEYS
+    )
+
+
+@query
+def q_risk_grid(spark, folder):
+    lookup = cut(risk.risk_lookup(featured(spark, folder)))
+    model = risk_model.fit_risk_model(lookup, trees=30)
+    return risk_model.score_segments(model, risk_model.all_segments(spark))
