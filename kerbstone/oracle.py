@@ -525,4 +525,18 @@ WHERE rank <= 5"""
 WHERE class_rank > floor(class_size * CAST(0.2 AS DOUBLE) + 0.5) GROUP BY 1"""
         },
     )
+
+    # --- explanations ---
+    terms = {
+        "weather": _case("weather", C.WEATHER_WEIGHTS, "0"),
+        "light_condition": _case("light_condition", C.LIGHT_WEIGHTS, "0"),
+        "road_surface": _case("road_surface", C.SURFACE_WEIGHTS, "0"),
+    } | {c: f"{c} * CAST(0.1 AS DOUBLE)" for c in C.NUMERIC_FEATURES}
+    sql["q_linear_attrib"] = _sql(
+        "featured",
+        "\nUNION ALL ".join(
+            f"SELECT accident_id, '{c}' AS feature, round({t} - (SELECT avg({t}) FROM featured), 6) AS phi FROM featured"
+            for c, t in terms.items()
+        ),
+    )
     return sql

@@ -13,6 +13,7 @@ from kerbstone.functions.scalars import recall_oriented
 from kerbstone.operators import (
     checks, clean, decode, features, hotspots, metrics, profile, risk, sampling,
 )
+from kerbstone.operators.explain import attribution, surrogate
 from kerbstone.operators.ml import classifiers, encode, knn, risk_model, smote, training
 from kerbstone.operators.ml.boosting import BoostingPreset
 from kerbstone.operators.spatial import dbscan as density
@@ -515,3 +516,57 @@ def q_risk_grid(spark, folder):
     lookup = cut(risk.risk_lookup(featured(spark, folder)))
     model = risk_model.fit_risk_model(lookup, trees=30)
     return risk_model.score_segments(model, risk_model.all_segments(spark))
+
+
+# --- explanations ----------------------------------------------------------------
+
+@query
+def q_linear_attrib(spark, folder):
+    """Attributions of a linear score with fixed coefficients, against the whole table."""
+    terms = attribution.linear_terms(
+        {
+            "weather": C.WEATHER_WEIGHTS,
+            "light_condition": C.LIGHT_WEIGHTS,
+            "road_surface": C.SURFACE_WEIGHTS,
+        },
+        {c: 0.1 for c in C.NUMERIC_FEATURES},
+    )
+    table = _model_table(spark, folder)
+    return _rounded(attribution.linear_attributions(table, table, terms), ["phi"])
+
+
+def _attributions(spark, folder, background=10):
+    parts, model = _fitted(spark, folder, "logistic_regression")
+    sample = attribution.background_sample(parts.train, background)
+    return attribution.shapley_values(model, parts.test, sample)
+
+
+@query
+def q_shapley(spark, folder):
+    return _rounded(_attributions(spark, folder), ["phi"])
+
+
+@query
+def q_global_importance(spark, folder):
+    return _rounded(
+        attribution.global_importance(_attributions(spark, folder)), ["importance"]
+    )
+
+
+@query
+def q_explain_top(spark, folder):
+    """Each row's strongest columns in the margin of a fitted logistic model."""
+    parts, model = _fitted(spark, folder, "logistic_regression")
+    phi = attribution.linear_attributions(
+        parts.test, parts.train, attribution.logistic_terms(model)
+    )
+    return _rounded(attribution.strongest(phi), ["phi"])
+
+
+@query
+def q_surrogate(spark, folder):
+    parts, model = _fitted(spark, folder, "logistic_regression")
+    sample = attribution.background_sample(parts.train, C.BACKGROUND_TABLE_ROWS)
+    return _rounded(
+        surrogate.local_surrogates(model, parts.test, cut(sample), samples=64), ["weight"]
+    )
