@@ -27,7 +27,7 @@ from kerbstone.operators.spatial.grid import (
 from kerbstone.plans.components import connected_components
 from kerbstone.plans.cut import cut
 from kerbstone.plans.order import global_index
-from kerbstone.plans.skew import lookup_join
+from kerbstone.plans.skew import fits_broadcast, lookup_join
 
 NOISE = -1
 NOT_CLUSTERED = -2
@@ -51,6 +51,18 @@ def _split(pairs: DataFrame, side: str, children: DataFrame) -> DataFrame:
     )
 
 
+def _of_open_cells(sites: DataFrame, rest: DataFrame, side: str) -> DataFrame:
+    """Without the sites of settled cells, where the list of open ones is short.
+
+    They are left out while reading, so a few open pairs do not shuffle the
+    whole table again.
+    """
+    keys = rest.select(F.col(f"{side}key").alias("key")).distinct()
+    if fits_broadcast(keys):
+        return sites.join(F.broadcast(keys), "key", "left_semi")
+    return sites
+
+
 # Open pairs of boxes holding no more than this many pairs of points between
 # them are compared point by point instead of being split further.
 DIRECT_PAIRS = 5_000_000
@@ -100,9 +112,9 @@ def settle(
         before, level = level, level + 1
         if work <= direct_pairs:
             level = LAST_LEVEL + 1
-        pairs = _split(rest, "r_", boxes(right, level, before))
+        pairs = _split(rest, "r_", boxes(_of_open_cells(right, rest, "r_"), level, before))
         if left is not None:
-            pairs = _split(pairs, "l_", boxes(left, level, before))
+            pairs = _split(pairs, "l_", boxes(_of_open_cells(left, rest, "l_"), level, before))
 
 
 def sites_of(points: DataFrame, grid: Grid, id_column: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """This application's folder in the shared one named by ``spark.checkpoint.dir``.
 
     A folder of our own is made only where the session names none, which is
     the case in local tests. A session whose checkpoint folder was set on the
@@ -23,7 +23,8 @@ def scratch_root(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="kerbstone-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    # one folder per application, so that it can be removed after a run
+    return f"{root.rstrip('/')}/kerbstone/{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -32,6 +33,6 @@ def cut(df: DataFrame) -> DataFrame:
     Unlike an in-memory copy this survives lost executors, and unlike an RDD
     checkpoint later steps can prune its columns and see its size on disk.
     """
-    path = f"{scratch_root(df.sparkSession)}/kerbstone/{uuid.uuid4().hex}"
+    path = f"{scratch_root(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -390,7 +390,7 @@ def q_knn_class(spark, folder):
     rows = tables.table(spark, folder, "embeddings").select(
         "vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding")
     )
-    near = knn.nearest_in_class(rows, rows, "vec_id", "label", 5, [], "embedding")
+    near = knn.nearest_in_class(rows, "vec_id", "label", 5, [], "embedding")
     return near.select("vec_id", "rank", "neighbour", F.round("distance", 6).alias("distance"))
 
 

@@ -97,7 +97,7 @@ def raw_collisions(spark: SparkSession, folder: str) -> DataFrame:
             return spark.read.parquet(_stored[key])
         except AnalysisException:
             pass  # the scratch folder was cleared since
-    path = f"{scratch_root(spark)}/kerbstone/raw-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/raw-{uuid.uuid4().hex}"
     derive_raw_collisions(spark, folder).write.parquet(path)
     _stored[key] = path
     return spark.read.parquet(path)
