@@ -71,7 +71,10 @@ def bounded_score(score: Column) -> Column:
 
 def most_likely(probabilities: Column) -> Column:
     """Index of the largest probability, the first one on ties."""
-    return (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("int")
+    ranked = F.transform(
+        probabilities, lambda p, i: F.struct(p.alias("p"), (-i).alias("place"))
+    )
+    return (-F.array_max(ranked)["place"]).cast("int")
 
 
 def recall_oriented(probabilities: Column, threshold: float = C.FATAL_THRESHOLD) -> Column:

@@ -1,6 +1,6 @@
 """The whole job: raw coded records in, tables, models and metrics out.
 
-    spark-submit -m kerbstone.run --raw 'records/*.csv' --codes codes.csv --out /shared/out
+    python -m kerbstone.run --raw 'records/*.csv' --codes codes.csv --out /shared/out
 """
 
 from __future__ import annotations
