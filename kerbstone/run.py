@@ -17,6 +17,7 @@ from kerbstone.operators.ml import risk_model, training
 from kerbstone.operators.ml.classifiers import CANDIDATES, Presets
 from kerbstone.operators.spatial import dbscan, kmeans
 from kerbstone.operators.spatial.silhouette import silhouette
+from kerbstone.session import ship
 from kerbstone.sources import artifacts, raw
 
 
@@ -79,6 +80,7 @@ def run(
     Each step reads what the one before has stored, so lost executors cost a
     step's tasks and never the steps before it.
     """
+    ship(spark)
     artifacts.write_table(decode.prepare(raw_records, codes), f"{out}/prepared")
     prepared = artifacts.read_table(spark, f"{out}/prepared")
     checks.validate(prepared)

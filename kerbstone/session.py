@@ -1,7 +1,11 @@
-"""A local session with the settings the tests and the bench use."""
+"""A local session for tests and bench, and the package for the workers."""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +24,23 @@ def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    The few functions that run in them are found by import, wherever the
+    workers were started.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp(prefix="kerbstone-")) / "kerbstone"), "zip", home.parent, home.name
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
