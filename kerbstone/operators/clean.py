@@ -26,7 +26,11 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
         *[
             x
             for c in rest
-            for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))
+            for x in (
+                [F.col(c).isNull().alias(f"_no_{c}"), F.col(c)]
+                if df.schema[c].nullable
+                else [F.col(c)]
+            )
         ]
     )
     least = df.groupBy("accident_id").agg(F.min(ordered).alias("_row"))

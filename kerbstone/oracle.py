@@ -188,7 +188,7 @@ SELECT accident_id, latitude, longitude, first(cluster ORDER BY d, cluster) AS c
     FROM cleaned GROUP BY 1) k)
 GROUP BY 1, 2, 3""",
     "hotspots": f"""
-SELECT *, row_number() OVER (ORDER BY severity_weighted_score DESC, cluster) AS rank FROM (
+SELECT *, CAST(row_number() OVER (ORDER BY severity_weighted_score DESC, cluster) AS INTEGER) AS rank FROM (
   SELECT cluster, CAST(sum(n) AS BIGINT) AS n_accidents, CAST(sum(fatal) AS BIGINT) AS fatal_count,
          CAST(sum(serious) AS BIGINT) AS serious_count, sum(lat) / sum(n) AS centroid_lat,
          sum(lon) / sum(n) AS centroid_lon, first(city ORDER BY n DESC, city) AS dominant_district,
@@ -258,7 +258,6 @@ FEATURED = RECORD + [
     "day_of_week", "is_weekend", "is_rush_hour", "is_night", "hour_bucket",
     "weather_severity_index",
 ]
-_CHECKED = "SELECT *, {} AS severity_code FROM raw_collisions"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -509,7 +508,7 @@ GROUP BY gi, gj, lat0, lat1, lon0, lon1, n""",
         ),
     )
     sql["q_knn_class"] = """
-SELECT vec_id, rank, neighbour, round(d, 6) AS distance FROM (
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbour, round(d, 6) AS distance FROM (
   SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.e, b.e) AS d,
          row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS rank
   FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) a

@@ -17,6 +17,17 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows out before each becomes many.
+
+    The number of partitions is given, because adaptive execution would size
+    them by the few rows there are now.
+    """
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), *keys)
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,

@@ -474,9 +474,7 @@ def q_benchmark(spark, folder):
 @query
 def q_model_ranking(spark, folder):
     parts = training.split(_model_table(spark, folder))
-    run = training.train_and_evaluate(
-        parts, ["logistic_regression", "random_forest"], presets=QUICK
-    )
+    run = training.train_and_evaluate(parts, presets=QUICK)
     return run.ranking().select("model", "fatal_recall", "macro_f1")
 
 
