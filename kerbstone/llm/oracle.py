@@ -44,8 +44,8 @@ WITH doc_words AS (
 ), found AS (
   SELECT p.doc_id, p.i, p.n, w.item_id FROM places p JOIN windows w ON p.n = w.n AND p.w = w.w
 ), hits AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit
-  FROM found, LATERAL (SELECT unnest(range(i, i + n)) AS at) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM found, LATERAL (SELECT unnest(range(i, i + n)) AS pos) GROUP BY doc_id
 ), ids AS (
   SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id

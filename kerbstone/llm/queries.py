@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbstone.llm import bpe
+from kerbstone.llm import bpe, language, pii
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.exact import exact_groups
 from kerbstone.llm.lines import dedup_lines
@@ -26,6 +26,30 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = language.identify(docs, language.learn(docs), keep=["doc_id"])
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, folder, "documents"), keep=["doc_id"])
+
+    def of(*kinds: str):
+        return F.filter("pii", lambda s: s["kind"].isin(*kinds))
+
+    def shown(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", *[
+            s[c].cast("string") for c in ("kind", "start", "end")])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(shown(of(*pii.BASE)), 256).alias("base_sha256"),
+        shown(F.col("pii")).alias("spans"),
+    )
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), keep=["doc_id"]
