@@ -7,6 +7,50 @@ _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 # A-Z only; lower() would change other letters too.
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1 = r"""
+WITH RECURSIVE source AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), texts AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS raw,
+         regexp_replace(coalesce(text, ''), '([<\[])(\\*(/?s>|\|>|/?INST\]|/?SYS\]))', '\1\\\2', 'g') AS text
+  FROM source
+), turns AS (
+  SELECT *, CAST(ceil(length(text) / 4.0) AS BIGINT) + 3 AS tokens, length(role) + length(text) + 10 AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, raw) AS i
+  FROM texts
+), sums AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY i) AS past,
+         i = 1 AND role = 'system' AS is_system FROM turns
+), fixed AS (
+  SELECT conv_id, coalesce(sum(tokens) FILTER (is_system), 0) AS tokens,
+         coalesce(sum(chars) FILTER (is_system), 0) AS chars FROM sums GROUP BY conv_id
+), opened AS (
+  SELECT s.conv_id, s.i, any_value(s.past) AS past, any_value(s.tokens) AS tokens,
+         coalesce(sum(t.tokens), 0) AS repeated,
+         any_value(f.tokens) AS fixed_tokens, any_value(f.chars) + coalesce(sum(t.chars), 0) AS repeated_chars
+  FROM sums s JOIN fixed f ON s.conv_id = f.conv_id
+  LEFT JOIN sums t ON t.conv_id = s.conv_id AND t.i < s.i AND NOT t.is_system
+    AND s.past - s.tokens - t.past + t.tokens <= greatest(0, least(128, 512 - f.tokens - s.tokens))
+  GROUP BY s.conv_id, s.i
+), walk AS (
+  SELECT conv_id, i, greatest(past, 512) AS most, 0 AS extra FROM opened WHERE i = 1
+  UNION ALL
+  SELECT o.conv_id, o.i,
+         CASE WHEN o.past > w.most THEN greatest(o.past, o.past - o.tokens + 512 - o.fixed_tokens - o.repeated)
+              ELSE w.most END,
+         CASE WHEN o.past > w.most THEN o.repeated_chars ELSE 0 END
+  FROM walk w JOIN opened o ON o.conv_id = w.conv_id AND o.i = w.i + 1
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || raw || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(raw)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(raw, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars + extra) AS BIGINT) AS formatted_chars
+FROM sums JOIN walk USING (conv_id, i) GROUP BY conv_id
+"""
+
 OP2 = f"""
 WITH lines AS (
   SELECT doc_id, i, list_extract(parts, i) AS line
@@ -64,6 +108,7 @@ FROM texts JOIN groups USING (t)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_chat_format": OP1,
     "op2_line_dedup": OP2,
     "op6_decontaminate": OP6,
     "op10_exact_dedup": OP10,

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbstone.llm import bpe, language, pii
+from kerbstone.llm import bpe, chat, language, pii
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.exact import exact_groups
 from kerbstone.llm.lines import dedup_lines
@@ -21,6 +21,41 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    table = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], table.schema)
+    read = chat.read_turns(chat.format_chats(table.union(more)))
+    of_window = read.select(
+        "conv_id",
+        F.struct(
+            "segment",
+            "window",
+            F.size("turns").alias("n"),
+            F.array_join(
+                F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+            ).alias("turns"),
+            F.array_join("learnt", "").alias("learnt"),
+            F.char_length("text").alias("chars"),
+        ).alias("w"),
+    )
+    joined = of_window.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("ws")).withColumns({
+        "turns": F.array_join("ws.turns", ""), "learnt": F.array_join("ws.learnt", ""),
+    })
+
+    def total(name: str):
+        return F.aggregate(F.col(f"ws.{name}"), F.lit(0).cast("bigint"), lambda s, x: s + x)
+
+    return joined.select(
+        "conv_id",
+        total("n").alias("n_turns"),
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.char_length("learnt").cast("bigint").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        total("chars").alias("formatted_chars"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = dedup_lines(_table(spark, folder, "documents"), keep=["doc_id"])
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
