@@ -100,6 +100,22 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM doc_words d LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
+# Base32 of SHA-1: each five hexadecimal digits are four characters.
+OP8 = """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), digests AS (
+  SELECT page_id, payload, array_to_string(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      (CAST('0x' || substr(hex, CAST(5 * (k // 4) + 1 AS INT), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS INT), 1)), '') AS digest
+  FROM hashed
+), firsts AS (SELECT payload, min(page_id) AS first FROM digests GROUP BY payload)
+SELECT page_id, CAST(strlen(d.payload) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests d JOIN firsts f ON d.payload = f.payload
+"""
+
 OP10 = f"""
 WITH texts AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM documents
 ), groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY t)
@@ -111,5 +127,6 @@ ORACLE: dict[str, str] = {
     "op1_chat_format": OP1,
     "op2_line_dedup": OP2,
     "op6_decontaminate": OP6,
+    "op8_warc": OP8,
     "op10_exact_dedup": OP10,
 }

@@ -6,15 +6,17 @@ columns from what the operator returns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbstone.llm import bpe, chat, language, pii
+from kerbstone.llm import bpe, chat, language, pii, warc
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.exact import exact_groups
 from kerbstone.llm.lines import dedup_lines
+from kerbstone.plans.cut import scratch_root
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -96,6 +98,12 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{scratch_root(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(_table(spark, folder, "pages"), archives)
+    return warc.page_columns(warc.assemble(warc.read_archives(spark, archives)))
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode(_table(spark, folder, "documents"), keep=["doc_id"])
     decoded = bpe.decode(encoded, text=False)
