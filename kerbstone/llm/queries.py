@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbstone.llm import bpe, chat, language, pii, warc
+from kerbstone.llm import bpe, chat, html, language, pii, warc
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.exact import exact_groups
 from kerbstone.llm.lines import dedup_lines
@@ -98,6 +98,14 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html.extract(_table(spark, folder, "pages"), keep=["page_id", "url"])
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"),
+        F.char_length("main_text").cast("bigint").alias("n_chars"),
+    )
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{scratch_root(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archives(_table(spark, folder, "pages"), archives)
