@@ -16,6 +16,7 @@ from kerbstone.llm import bpe, chat, html, language, pii, warc
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.exact import exact_groups
 from kerbstone.llm.lines import dedup_lines
+from kerbstone.llm.near import near_groups
 from kerbstone.plans.cut import scratch_root
 
 
@@ -87,6 +88,10 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(_table(spark, folder, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), keep=["doc_id"]
