@@ -1,0 +1,81 @@
+import random
+import re
+
+from helpers import documents, table
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kerbstone.llm import pii
+
+# The base patterns as the contract has them.
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def holds(kind, found):
+    digits = re.sub("[^0-9]", "", found)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in found.split("."))
+    if kind == "card":
+        odd = sum(int(c) for c in digits[-1::-2])
+        return 12 <= len(digits) <= 19 and (odd + sum(sum(divmod(2 * int(c), 10)) for c in digits[-2::-2])) % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def expected(text):
+    spans = [(k, m.start(), m.end()) for k, p in BASE.items() for m in re.finditer(p, text) if holds(k, m[0])]
+    return sorted(spans, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+
+def base(text):
+    return [s for s in pii.find_spans(text) if s[0] in pii.BASE]
+
+
+PIECES = ["1", "22", "255", "256", ".", "..", "@", "a", "b-c", "+", " ", "-", "(", ")", "4111111111111111",
+          "4111 1111 1111 1111", "+1 (017) 555-7713", "1.2.3.4", "a.b@c.de", "%", "é", "\n", "0", "://", "token = \""]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
+def test_base_spans_equal_the_patterns(text):
+    assert base(text) == expected(text)
+
+
+def test_random_characters():
+    rng = random.Random(5)
+    for _ in range(4000):
+        text = "".join(rng.choice("0123456789.@+- ()ab%é") for _ in range(rng.randint(0, 60)))
+        assert base(text) == expected(text)
+
+
+def test_given_table(spark):
+    docs = table(spark, "documents")
+    rows = pii.find_personal_data(docs).collect()
+    assert len(rows) == docs.count()
+    found = 0
+    for r in rows:
+        got = [(s["kind"], s["start"], s["end"]) for s in r["pii"]]
+        assert [s for s in got if s[0] in pii.BASE] == expected(r["text"] or "")
+        found += len(got)
+    assert found
+
+
+def test_added_kinds():
+    text = 'x token = "f3ef4d6b2755a36d7d9c25bd72" ftp://me:pw@host.org/x IBAN: DE89 3704 0044 0532 0130 00.'
+    got = {(k, text[a:b]) for k, a, b in pii.find_spans(text)}
+    assert ("account", "f3ef4d6b2755a36d7d9c25bd72") in got
+    assert ("url", "ftp://me:pw@host.org") in got
+    assert ("account", "DE89 3704 0044 0532 0130 00") in got
+    clean = "The token was lost. Password reset is easy; see http://example.org/a, IBAN DE00 1234 5678 9012."
+    assert pii.find_spans(clean) == []
+
+
+def test_nulls_long_texts_and_clashing_columns(spark):
+    docs = documents(spark, [None, "", "7" * 300_000, "a" * 300_000 + "@b.c"]).withColumnRenamed("source", "pii")
+    rows = {r["doc_id"]: r["pii"] for r in pii.find_personal_data(docs).collect()}
+    assert [len(rows[i]) for i in range(4)] == [0, 0, 0, 1]
+    assert pii.find_personal_data(docs.limit(0)).count() == 0
