@@ -164,10 +164,10 @@ def dedup_lines(
     for part in _id_batches(long_lines, batches):
         runs.add(long_lines.where(part))
 
-    # An equi-join of single lines: a line that a third of all rows share is a
-    # large partition that adaptive execution can split.
+    # An equi-join of single lines, whose sides are shuffled for it alone: a line
+    # that a third of all rows share is a partition adaptive execution can split.
     lost = (
-        long_lines.join(runs.frequent(min_docs), "key")
+        long_lines.join(cut(runs.frequent(min_docs)), "key")
         .where(~F.col("id").eqNullSafe(F.col("owner")))
         .groupBy(F.col("id").alias("_id"))
         .agg(F.collect_set("key").alias("_lost"))
