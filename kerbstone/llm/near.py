@@ -160,10 +160,10 @@ def cell_edges(cells) -> object:
 
     for batch in cells:
         out = []
-        for tree, prefix, node, sig in zip(*[batch.column(c).to_pylist() for c in ("tree", "prefix", "node", "sig")]):
-            if (tree, prefix) != at:
+        for prefix, node, sig in zip(*[batch.column(c).to_pylist() for c in ("prefix", "node", "sig")]):
+            if prefix != at:
                 out += found()
-                held, at = [], (tree, prefix)
+                held, at = [], prefix
             held.append((node, sig))
         yield edge_batch(out)
     yield edge_batch(found())
@@ -272,21 +272,22 @@ def near_groups(
             F.max("prefixes").alias("prefixes"), F.max("sig").alias("sig"),
         )
     )
-    filed = nodes.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
+    # Joins that grow with the corpus are merge joins at every size: narrow rows
+    # find out who meets, and only those who do carry their signatures along.
+    filed = nodes.select("node", F.explode("prefixes").alias("prefix"))
     cells = cut(
-        filed.groupBy("tree", "prefix").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
+        filed.groupBy("prefix").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
     )
-    # The nodes that meet others, each with its signature; a very large cell is
-    # one cluster and needs none.
-    met = filed.join(cells, ["tree", "prefix"])
+    met = cut(filed.join(cells.hint("merge"), "prefix"))
     large = met.where((F.col("size") > cell) & (F.col("node") != F.col("least"))).select(
         F.col("node").alias("a"), F.col("least").alias("b"))
     small = (
-        nodes.select("node", "sig", F.posexplode("prefixes").alias("tree", "prefix"))
-        .join(cells.where(F.col("size") <= cell), ["tree", "prefix"])
-        .select("tree", "prefix", "node", "sig")
-        .repartition("tree", "prefix")
-        .sortWithinPartitions("tree", "prefix")
+        met.where(F.col("size") <= cell)
+        .select("prefix", "node")
+        .join(nodes.select("node", "sig").hint("merge"), "node")
+        .select("prefix", "node", "sig")
+        .repartition("prefix")
+        .sortWithinPartitions("prefix")
         .mapInArrow(cell_edges, "a binary, b binary")
     )
     edges = cut(small.union(large).distinct())
@@ -315,7 +316,7 @@ def near_groups(
     bins = F.greatest(F.lit(1), F.ceil(F.lit(clusters.count()) / (4 * block)))
     group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), bins)).otherwise(F.xxhash64("component", F.lit(1)))
     links = cut(
-        source.join(placed, F.col("id").eqNullSafe(F.col("_id")))
+        source.join(placed.hint("merge"), F.col("id").eqNullSafe(F.col("_id")))
         .select("text", "node", "copies", "component", "block", "i", "j", group.alias("g"))
         .groupBy("g", "i", "j")
         .applyInPandas(of_group, "node binary, root binary, links long")
@@ -342,7 +343,7 @@ def near_groups(
     )
     # both sides are shuffled for this join alone, so a set that a third of all
     # rows have is a partition that adaptive execution can split
-    return sketches.select("id", "node").join(known, F.col("node") == F.col("_node"), "left").select(
+    return sketches.select("id", "node").join(known.hint("merge"), F.col("node") == F.col("_node"), "left").select(
         F.col("id").alias(id_col),
         F.when(F.col("_node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
