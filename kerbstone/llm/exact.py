@@ -120,15 +120,23 @@ def exact_groups(
         )
     )
     lists = verified(recipes).select("_id", "text_sha256", "_list")
-    groups = lists.groupBy(F.col("_list").alias("_key")).agg(
-        F.max("_id").alias("keep_id"), F.count("*").alias("group_size")
+    # Groups of two and more are written before they are joined back: then both
+    # sides of the join are shuffled for it alone, and adaptive execution can
+    # split a partition in which one list has a third of all rows.
+    groups = cut(
+        lists.groupBy(F.col("_list").alias("_key"))
+        .agg(F.max("_id").alias("_keep"), F.count("*").alias("_size"))
+        .where("_size > 1")
     )
-    # A plain equi-join, whose large partitions adaptive execution can split:
-    # a third of all rows may have one list.
-    return lists.join(groups, F.col("_list") == F.col("_key")).select(
-        F.col("_id").alias(id_col),
-        "keep_id",
-        "group_size",
-        F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        "text_sha256",
+    keep_id = F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_keep"))
+    return (
+        lists.join(groups, F.col("_list") == F.col("_key"), "left")
+        .withColumn("keep_id", keep_id)
+        .select(
+            F.col("_id").alias(id_col),
+            "keep_id",
+            F.coalesce("_size", F.lit(1).cast("bigint")).alias("group_size"),
+            F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+            "text_sha256",
+        )
     )
