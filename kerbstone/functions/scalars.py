@@ -88,14 +88,9 @@ def severity_of(index: Column) -> Column:
     return F.array(*[F.lit(s) for s in C.SEVERITIES])[index.cast("int")]
 
 
-def haversine_km(phi1: Column, lam1: Column, phi2: Column, lam2: Column) -> Column:
-    """Great-circle distance of two points given in radians."""
-    a = F.pow(F.sin((phi2 - phi1) / 2), 2) + F.cos(phi1) * F.cos(phi2) * F.pow(
-        F.sin((lam2 - lam1) / 2), 2
-    )
-    return 2 * C.EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
-
-
 def hash_rank_key(column: str, seed: int = C.SEED) -> Column:
     """A repeatable pseudo-random text for ranking rows, equal in any engine with md5."""
     return F.md5(F.concat(F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(f":{seed}")))
+def trimmed(text: Column | str) -> Column:
+    """``text`` without white space of any kind at its ends, no-break spaces included."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")

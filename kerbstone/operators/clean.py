@@ -78,7 +78,7 @@ def impute_missing(df: DataFrame) -> DataFrame:
     )
 
     def filled(c: str) -> Column:
-        none = F.raise_error(F.lit(f"Cannot impute {c}: no valid numeric values."))
+        none = F.raise_error(F.lit(f"{c} has no number to take a median of"))
         return F.coalesce(F.col(c), middle[c], none.cast("double"))
 
     return df.withColumns({c: filled(c) for c in numbers})
@@ -89,7 +89,7 @@ def coerce_types(df: DataFrame) -> DataFrame:
 
     What cannot be converted fails the job rather than becoming null.
     """
-    no_date = F.raise_error(F.lit("Some accident dates are invalid or missing."))
+    no_date = F.raise_error(F.lit("a record has no readable date"))
     return df.withColumns(
         {
             "date": F.coalesce(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbstone import constants as C
-from kerbstone.functions.scalars import hour_of, in_range, label_of, number_or_null
+from kerbstone.functions.scalars import hour_of, in_range, label_of, number_or_null, trimmed
 from kerbstone.plans.skew import lookup_join
 
 
@@ -23,7 +23,7 @@ def decode(raw: DataFrame) -> DataFrame:
         F.col("collision_index").alias("accident_id"),
         F.expr("try_to_date(date, 'd/M/yyyy')").alias("date"),
         hour_of("time").alias("hour"),
-        F.trim("local_authority_ons_district").alias("district_code"),
+        trimmed("local_authority_ons_district").alias("district_code"),
         code("latitude").alias("latitude"),
         code("longitude").alias("longitude"),
         label_of(code("road_type"), C.ROAD_TYPE_CODES, C.UNKNOWN).alias("road_type"),

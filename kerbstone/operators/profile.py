@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbstone import constants as C
-from kerbstone.functions.scalars import in_range, round_even_places
+from kerbstone.functions.scalars import in_range, round_even_places, trimmed
 from kerbstone.operators.decode import decode
 
 LABEL_COLUMNS = [
@@ -166,7 +166,7 @@ def districts(df: DataFrame) -> DataFrame:
     column = district_column(df.columns)
     if column is None:
         raise ValueError(f"no recognised district column among {df.columns}")
-    name = F.trim(F.col(column).cast("string"))
+    name = trimmed(F.col(column).cast("string"))
     return (
         df.select(name.alias("district"))
         .where((F.col("district") != "") & ~F.lower("district").isin("unknown", "nan", "none"))

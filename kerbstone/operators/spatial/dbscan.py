@@ -224,8 +224,9 @@ def dbscan(
     eps_km: float = C.DBSCAN_EPS_KM,
     min_samples: int = C.DBSCAN_MIN_SAMPLES,
     id_column: str = "accident_id",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(id, cluster)`` of every record of ``points``.
+    """``(id, cluster)`` of every record of ``points``, with its columns ``keep``.
 
     ``min_samples`` counts the point itself. Clusters are numbered from 0 by
     their least core id; a border point joins the lowest-numbered cluster it
@@ -235,7 +236,7 @@ def dbscan(
     sites = cut(sites_of(points, grid, id_column))
     total = sites.agg(F.sum("n")).first()[0] or 0
     if total < min_samples:
-        raise ValueError("Not enough valid coordinates for DBSCAN.")
+        raise ValueError(f"density clusters need {min_samples} usable coordinates, there are {total}")
 
     thin = cut(thin_cell_sites(sites, min_samples))
     thin_core = cut(core_thin_sites(sites, thin, grid, min_samples))
@@ -326,13 +327,14 @@ def dbscan(
 
     valid = in_range(F.col("latitude"), F.col("longitude"))
     placed = grid.place(points, "latitude", "longitude").select(
-        id_column, F.when(valid, F.col("cell")).alias("cell"), "phi", "lam"
+        id_column, *keep, F.when(valid, F.col("cell")).alias("cell"), "phi", "lam"
     )
     here = F.filter(
         "sites", lambda s: (s["phi"] == F.col("phi")) & (s["lam"] == F.col("lam"))
     )
     return lookup_join(placed, lookup, "cell").select(
         id_column,
+        *keep,
         F.when(F.col("cell").isNull(), F.lit(NOT_CLUSTERED))
         .otherwise(
             F.coalesce("cell_cluster", F.get(here, F.lit(0))["cluster"], F.lit(NOISE))

@@ -34,7 +34,7 @@ def density_grid(
         F.min("longitude"), F.max("longitude"),
     ).first()
     if not n:
-        raise ValueError("No valid coordinates available for KDE.")
+        raise ValueError("a density needs at least one usable coordinate")
 
     km_lon = math.cos(math.radians(mean_lat)) * C.KM_PER_DEGREE_LON
     lats = np.linspace(lat0, lat1, grid_size)

@@ -35,7 +35,7 @@ def fit_kmeans(
     try:
         total = places.agg(F.sum("n")).first()[0] or 0
         if total < k:
-            raise ValueError(f"K-Means needs at least {k} valid coordinates.")
+            raise ValueError(f"{k} zones need as many usable coordinates, there are {total:.0f}")
         models = [
             KMeans(
                 featuresCol="place", predictionCol="cluster", weightCol="n", k=k,
@@ -49,19 +49,24 @@ def fit_kmeans(
 
 
 def kmeans_labels(
-    model: KMeansModel, points: DataFrame, id_column: str = "accident_id"
+    model: KMeansModel,
+    points: DataFrame,
+    id_column: str = "accident_id",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(id, cluster)`` of every record, -1 without a usable coordinate."""
+    """``(id, cluster)`` of every record with its columns ``keep``, -1 without a usable coordinate."""
     valid = in_range(F.col("latitude"), F.col("longitude"))
     safe = points.withColumns(
         {
             "_valid": valid,
+            "_kept": F.struct(F.lit(0).alias("_"), *keep),
             "latitude": F.when(valid, F.col("latitude")).otherwise(0.0),
             "longitude": F.when(valid, F.col("longitude")).otherwise(0.0),
         }
     )
     return model.transform(_vectors(safe)).select(
         id_column,
+        *[F.col(f"_kept.{c}").alias(c) for c in keep],
         F.when(F.col("_valid"), F.col("cluster")).otherwise(INVALID).alias("cluster"),
     )
 

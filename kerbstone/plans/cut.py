@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder in the shared one named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where the session names none, which is
-    the case in local tests. A session whose checkpoint folder was set on the
-    context keeps that one.
+    A session whose checkpoint folder was set on the context keeps that one. Where
+    none is named, as in local tests, the warehouse folder is used, which a
+    session always has and which its executors share.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="kerbstone-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     # one folder per application, so that it can be removed after a run
     return f"{root.rstrip('/')}/kerbstone/{spark.sparkContext.applicationId}"
 
@@ -36,3 +32,9 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{scratch_root(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has cut; its results must be written or taken."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # A lookup of at most this many rows may be sent to every executor.
 BROADCAST_ROWS = 100_000
-# A key is heavy when it holds at least one row in this many; there can be no
-# more heavy keys than this.
+# A key is heavy when it holds at least one row in this many, or in the number of
+# partitions if those are more; there can be no more heavy keys than that.
 HEAVY_SHARE = 1_000
 
 
@@ -33,7 +33,7 @@ def lookup_join(
     lookup: DataFrame,
     key: str,
     broadcast_rows: int = BROADCAST_ROWS,
-    heavy_share: int = HEAVY_SHARE,
+    heavy_share: int | None = None,
 ) -> DataFrame:
     """Left join of ``big`` to ``lookup``, which has one row per ``key``.
 
@@ -42,6 +42,9 @@ def lookup_join(
     most ``heavy_share`` of those, so their lookup rows are broadcast, and the
     rows that found theirs are spread evenly instead of meeting in one task.
     """
+    if heavy_share is None:
+        partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        heavy_share = max(HEAVY_SHARE, partitions)
     if fits_broadcast(lookup, broadcast_rows):
         return big.join(F.broadcast(lookup), key, "left")
 

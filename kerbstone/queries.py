@@ -282,8 +282,8 @@ def _located(spark, folder):
 
 
 def _clustered(spark, folder):
-    rows = _located(spark, folder)
-    return rows.join(density.dbscan(rows), "accident_id")
+    kept = ("latitude", "longitude", "severity", "city")
+    return density.dbscan(_located(spark, folder), keep=kept)
 
 
 @query

@@ -17,33 +17,27 @@ from kerbstone.operators.ml import risk_model, training
 from kerbstone.operators.ml.classifiers import CANDIDATES, Presets
 from kerbstone.operators.spatial import dbscan, kmeans
 from kerbstone.operators.spatial.silhouette import silhouette
+from kerbstone.plans.cut import cut
 from kerbstone.session import ship
 from kerbstone.sources import artifacts, raw
 
 
-def load_prepared(spark: SparkSession, path: str) -> DataFrame:
-    """Prepared records from CSV, checked."""
-    df = raw.read_prepared_csv(spark, path)
-    checks.validate(df)
-    return df
-
-
 def _spots(spark: SparkSession, records: DataFrame, out: str) -> DataFrame:
     """Zones, clusters and the hotspot table; one row of their figures."""
-    zones = kmeans.kmeans_labels(kmeans.fit_kmeans(records), records)
-    artifacts.write_table(zones, f"{out}/zones")
-    labels = dbscan.dbscan(records.select("accident_id", "latitude", "longitude"))
-    artifacts.write_table(labels, f"{out}/clusters")
-
-    placed = records.join(
-        artifacts.read_table(spark, f"{out}/zones").withColumnRenamed("cluster", "zone"),
-        "accident_id",
-    ).join(artifacts.read_table(spark, f"{out}/clusters"), "accident_id")
+    # Labels travel with the records: a join by id would lose those without one.
+    kept = tuple(c for c in records.columns if c != "accident_id")
+    zoned = kmeans.kmeans_labels(kmeans.fit_kmeans(records), records, keep=kept)
+    zoned = cut(zoned.withColumnRenamed("cluster", "zone"))
+    placed = cut(dbscan.dbscan(zoned, keep=(*kept, "zone")))
+    artifacts.write_table(
+        placed.select("accident_id", F.col("zone").alias("cluster")), f"{out}/zones"
+    )
+    artifacts.write_table(placed.select("accident_id", "cluster"), f"{out}/clusters")
     ranked = hotspots.rank_hotspots(placed)
     artifacts.write_table(ranked, f"{out}/hotspots", f"{out}/hotspots_csv")
     stored = artifacts.read_table(spark, f"{out}/hotspots")
     if stored.isEmpty():
-        raise ValueError("DBSCAN did not produce any rankable clusters.")
+        raise ValueError("no cluster is left to rank")
 
     members = placed.where(F.col("cluster") >= 0).withColumns(
         {"phi": F.radians("latitude"), "lam": F.radians("longitude")}
@@ -105,7 +99,7 @@ def run(
     artifacts.write_table(risk.risk_lookup(featured), f"{out}/risk_lookup", f"{out}/risk_lookup_csv")
     lookup = artifacts.read_table(spark, f"{out}/risk_lookup")
     if lookup.isEmpty():
-        raise ValueError("Risk lookup is empty. Cannot train risk model.")
+        raise ValueError("there are no segments to fit the risk model on")
     artifacts.save_model(
         spark, risk_model.fit_risk_model(lookup, risk_trees), "risk", f"{out}/risk_model"
     )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbstone import constants as C
+from kerbstone.functions.scalars import trimmed
 
 RAW_COLUMNS = [
     "collision_index", "date", "time", "collision_severity", "road_type",
@@ -58,11 +61,29 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Every column is read as text, so identifiers keep their leading zeros;
     columns outside the contract are never parsed further.
     """
-    df = spark.read.csv(path, header=True, inferSchema=False, mode="PERMISSIVE")
-    absent = sorted(set(RAW_COLUMNS) - set(df.columns))
-    if absent:
-        raise ValueError(f"raw file lacks columns: {absent}")
-    return _blank_to_null(df.select(*RAW_COLUMNS))
+    parts = []
+    for header, files in _by_header(spark, path).items():
+        absent = sorted(set(RAW_COLUMNS) - set(header))
+        if absent:
+            raise ValueError(f"{files[0]} has no column {', '.join(absent)}")
+        rows = spark.read.csv(files, header=True, inferSchema=False, mode="PERMISSIVE")
+        parts.append(rows.select(*RAW_COLUMNS))
+    return _blank_to_null(reduce(DataFrame.unionByName, parts))
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``path`` by their header line.
+
+    Spark applies the first file's header to all files by position, so files
+    whose columns come in another order must be read apart.
+    """
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        header = tuple(spark.read.csv(file, header=True, inferSchema=False).columns)
+        found.setdefault(header, []).append(file)
+    if not found:
+        raise ValueError(f"no files in {path}")
+    return found
 
 
 def read_code_list(
@@ -89,8 +110,8 @@ def code_list(rows: DataFrame, field: str, order: str | None = None) -> DataFram
     without it the greatest label is taken, so that the choice is repeatable.
     """
     wanted = rows.where(F.col("field_name") == field).select(
-        F.trim("code").alias("code"),
-        F.trim("label").alias("label"),
+        trimmed("code").alias("code"),
+        trimmed("label").alias("label"),
         F.col(order or "label").alias("_order"),
     )
     return wanted.groupBy("code").agg(F.max_by("label", "_order").alias("label"))
@@ -98,9 +119,10 @@ def code_list(rows: DataFrame, field: str, order: str | None = None) -> DataFram
 
 def read_prepared_csv(spark: SparkSession, path: str) -> DataFrame:
     """Prepared 14-column records, with header names deciding the order."""
-    header = spark.read.csv(path, header=True, inferSchema=False).columns
     known = {f.name: f for f in PREPARED_SCHEMA.fields}
-    schema = T.StructType(
-        [known.get(c, T.StructField(c, T.StringType())) for c in header]
-    )
-    return _blank_to_null(spark.read.schema(schema).csv(path, header=True))
+    parts = []
+    for header, files in _by_header(spark, path).items():
+        schema = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
+        parts.append(spark.read.schema(schema).csv(files, header=True))
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _blank_to_null(whole)

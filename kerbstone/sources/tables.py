@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbstone.plans.cut import scratch_root
 
@@ -82,7 +83,19 @@ def derive_raw_collisions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """What tells whether the tables that raw records derive from have changed."""
+    return tuple(
+        table(spark, folder, name)
+        .select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size")
+        .agg(F.count("*"), F.bit_xor(F.xxhash64("file_path", "file_modification_time", "file_size")),
+             F.max("file_modification_time"))
+        .first()
+        for name in ("lineitem", "supplier")
+    )
 
 
 def raw_collisions(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,7 +104,7 @@ def raw_collisions(spark: SparkSession, folder: str) -> DataFrame:
     Raw records are files in practice. Storing the derived ones gives the
     queries the same starting point: a columnar scan they can prune.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, *_state(spark, folder))
     if key in _stored:
         try:
             return spark.read.parquet(_stored[key])
