@@ -26,8 +26,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     table = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    said = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], table.schema)
+    more = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
     read = chat.read_turns(chat.format_chats(table.union(more)))
     of_window = read.select(
         "conv_id",
