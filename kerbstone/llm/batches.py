@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kerbstone.session import ship
 
 #: Bytes of text handed to a function at once. A longer single text goes alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from kerbstone.llm.batches import with_text_columns
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Pieces that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Characters of a text that are encoded at once.
 PART_CHARS = 1 << 20
 

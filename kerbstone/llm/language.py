@@ -95,9 +95,12 @@ class Model:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not self.langs:
             return langs, scores
-        tables = [(i, t) for i, text in enumerate(texts) if (t := presence(text)) is not None]
-        for at in range(0, len(tables), BATCH):
-            part = tables[at:at + BATCH]
+        for at in range(0, len(texts), BATCH):
+            # a presence table is much larger than its text: a batch of them at once
+            found = [(at + i, presence(text)) for i, text in enumerate(texts[at:at + BATCH])]
+            part = [(i, t) for i, t in found if t is not None]
+            if not part:
+                continue
             values = self.kernel([t for _, t in part]) @ self.weights
             for (i, _), row in zip(part, values):
                 best = int(row.argmax())
