@@ -168,10 +168,14 @@ def encode(
     text_col: str = "text",
     path: str | None = None,
     offsets: bool = False,
+    check: bool = False,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Every row of ``docs``: ``keep, n_tokens, ids``, with ``offsets`` also ``starts, ends``.
 
+    With ``check`` the ids are decoded in the same pass, and ``restored`` says
+    whether they give the text back.
+
     ``ids`` are as the tiktoken library would give them for the same ranks; a
     special token's text is ordinary text. ``starts`` and ``ends`` count
     characters. A null or empty text has no ids. ``path`` is the vocabulary
@@ -186,12 +190,17 @@ def encode(
         counts = [len(i) for i in ids]
         lists = pa.ListArray.from_arrays(np.cumsum([0, *counts]).astype(np.int32), np.concatenate(ids))
         out = {"n_tokens": counts, "ids": lists}
+        if check:
+            back = tokens.decode_all(lists).to_pylist()
+            out["restored"] = [b == t.encode("utf-8", "surrogatepass") for b, t in zip(back, texts)]
         if offsets:
             places = [tokens.offsets(t, i) for t, i in zip(texts, ids)]
             out |= {"starts": [p[0] for p in places], "ends": [p[1] for p in places]}
         return out
 
     types = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType())}
+    if check:
+        types["restored"] = T.BooleanType()
     if offsets:
         types |= {"starts": T.ArrayType(T.IntegerType()), "ends": T.ArrayType(T.IntegerType())}
     return with_text_columns(docs, text_col, run, types, keep)
