@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -15,6 +15,20 @@ from kerbstone.session import ship
 
 #: Bytes of text handed to a function at once. A longer single text goes alone.
 SLICE_BYTES = 2 << 20
+#: Bytes of rows that Spark sends a worker at once, where the session allows more.
+SENT_BYTES = 8 << 20
+
+
+def send_less(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``SENT_BYTES``; a smaller setting stays.
+
+    A batch is held several times over, by the executor and by its worker, for
+    each task that runs at once.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    bytes_of = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if bytes_of(spark.conf.get(name)) > SENT_BYTES:
+        spark.conf.set(name, str(SENT_BYTES))
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -53,6 +67,7 @@ def with_text_columns(
     replaced. Texts go through in parts of bounded size; nothing is shuffled.
     """
     ship(df.sparkSession)
+    send_less(df.sparkSession)
     kept = [c for c in (df.columns if keep is None else keep) if c not in types]
     schema = T.StructType(
         [df.schema[c] for c in kept] + [T.StructField(n, t) for n, t in types.items()]
