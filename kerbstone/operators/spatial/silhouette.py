@@ -1,4 +1,4 @@
-"""Silhouette of a labelling on a repeatable sample."""
+"""Silhouette of a labelling, on a repeatable sample or of every record."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,3 +70,27 @@ def silhouette(
     pieces = -(-len(held) // ROWS_AT_ONCE)
     rows = spark.range(0, len(held), 1, pieces).select(F.col("id").alias("i"))
     return rows.mapInPandas(scores, "value double").agg(F.avg("value").alias("silhouette"))
+
+
+def whole_silhouette(labelled: DataFrame, x: str, y: str, label: str) -> DataFrame:
+    """One row: ``silhouette`` of all records by squared distances.
+
+    Mean squared distances follow from each label's count and sums, so two
+    passes over the records do and no sample is taken. Rows without a place or label do
+    not count. Null unless there are at least two labels. One sum for each label
+    goes to every task: this is for labels that are far fewer than records.
+    """
+    spark = labelled.sparkSession
+    rows = labelled.select(
+        F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
+        F.col(label).cast("string").alias("label"),
+    ).dropna()
+    ends = rows.agg(F.min("label").alias("least"), F.max("label").alias("most")).first()
+    if ends["least"] == ends["most"]:
+        return spark.createDataFrame([(None,)], "silhouette double")
+    numbered = StringIndexer(inputCol="label", outputCol="number").fit(rows).transform(rows)
+    places = VectorAssembler(inputCols=["x", "y"], outputCol="place").transform(numbered)
+    value = ClusteringEvaluator(
+        predictionCol="number", featuresCol="place", distanceMeasure="squaredEuclidean"
+    ).evaluate(places)
+    return spark.createDataFrame([(value,)], "silhouette double")

@@ -287,6 +287,19 @@ CROSS JOIN (VALUES ('Minor'), ('Serious'), ('Fatal')) s(severity)
 WHERE NOT EXISTS (SELECT 1 FROM featured f WHERE f.city = c.city AND f.severity = s.severity
                   AND f.weather_severity_index >= 6)""",
     )
+    sql["q_missing_by_date"] = _sql(
+        "featured",
+        """SELECT date, s.severity
+FROM (SELECT date, list(DISTINCT severity) AS have FROM featured
+      WHERE weather_severity_index >= 6 AND date IS NOT NULL GROUP BY date) d,
+     (VALUES ('Minor'), ('Serious'), ('Fatal')) s(severity)
+WHERE NOT list_contains(d.have, s.severity)""",
+    )
+    sql["q_missing_overall"] = _sql(
+        "featured",
+        """SELECT s.severity FROM (VALUES ('Minor'), ('Serious'), ('Fatal')) s(severity)
+WHERE s.severity NOT IN (SELECT severity FROM featured WHERE severity <> 'Fatal')""",
+    )
     sql["q_districts"] = _sql(
         "cleaned",
         """SELECT DISTINCT trim(city) AS district FROM cleaned
@@ -472,6 +485,24 @@ FROM (
 ORDER BY md5(coalesce(accident_id, '') || ':42'), accident_id NULLS LAST LIMIT 5000"""
         },
     )
+    sql["q_silhouette_all"] = _sql(
+        "zones",
+        """SELECT round(avg(CASE WHEN own_n = 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM (
+  SELECT max(t.n) FILTER (WHERE t.cluster = p.cluster) AS own_n,
+         max(far * t.n / nullif(t.n - 1, 0)) FILTER (WHERE t.cluster = p.cluster) AS a,
+         min(far) FILTER (WHERE t.cluster <> p.cluster) AS b
+  FROM (
+    SELECT z.row, z.cluster, u.cluster AS other,
+           u.spread + (z.latitude - u.lat) ** 2 + (z.longitude - u.lon) ** 2 AS far
+    FROM (SELECT *, row_number() OVER () AS row FROM zones) z CROSS JOIN totals u) p
+  JOIN totals t ON t.cluster = p.other
+  GROUP BY p.row)""",
+        more={
+            "totals": """SELECT cluster, count(*) AS n, avg(latitude) AS lat, avg(longitude) AS lon,
+ var_pop(latitude) + var_pop(longitude) AS spread FROM zones GROUP BY cluster"""
+        },
+    )
     sql["q_kde_grid"] = _sql(
         "cleaned",
         """SELECT gi, gj, round(lat0 + gi * (lat1 - lat0) / 59, 6) AS lat, round(lon0 + gj * (lon1 - lon0) / 59, 6) AS lon,

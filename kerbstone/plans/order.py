@@ -81,15 +81,14 @@ def running_totals(
 def grouped_index(
     df: DataFrame, group: str, order: list[Column], name: str
 ) -> DataFrame:
-    """Add ``name``: 1, 2, 3, ... inside each value of a low-cardinality ``group``.
+    """Add ``name``: 1, 2, 3, ... inside each value of ``group``.
 
     Groups may be as large as the table: the sort is global, and a group's
-    first index (one row per group) is taken off afterwards.
+    first index (one row per group) is taken off afterwards. Few groups are
+    broadcast; many are joined by key, where adaptive execution splits a large one.
     """
     numbered = global_index(df, [F.col(group).asc_nulls_last(), *order], "_index")
     firsts = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_index").alias("_base"))
-    if not fits_broadcast(firsts):
-        raise ValueError(f"{group} has too many values to number inside each of them")
-    return numbered.join(
-        F.broadcast(firsts), F.col(group).eqNullSafe(F.col("_group"))
-    ).select(*df.columns, (F.col("_index") - F.col("_base") + 1).alias(name))
+    if fits_broadcast(firsts):
+        firsts = F.broadcast(firsts)
+    return numbered.join(firsts, F.col(group).eqNullSafe(F.col("_group"))).select(*df.columns, (F.col("_index") - F.col("_base") + 1).alias(name))

@@ -119,6 +119,20 @@ def q_missing_classes(spark, folder):
     return checks.missing_classes_by(rows, "city")
 
 
+@query
+def q_missing_by_date(spark, folder):
+    """Classes each day lacks among its collisions in adverse conditions."""
+    rows = featured(spark, folder).where(F.col("weather_severity_index") >= 6)
+    return checks.missing_classes_by(rows, "date")
+
+
+@query
+def q_missing_overall(spark, folder):
+    """Classes that the collisions without fatalities lack."""
+    rows = featured(spark, folder).where(F.col("severity") != "Fatal")
+    return checks.missing_classes(rows)
+
+
 @query
 def q_districts(spark, folder):
     return profile.districts(cleaned(spark, folder))
@@ -346,6 +360,16 @@ def q_silhouette(spark, folder):
     )
 
 
+@query
+def q_silhouette_all(spark, folder):
+    """Silhouette of every record's zone by squared distances."""
+    rows = _located(spark, folder)
+    zones = kmeans.nearest_centroid(rows, _district_centres(rows))
+    return _rounded(
+        silhouettes.whole_silhouette(zones, "latitude", "longitude", "cluster"), ["silhouette"]
+    )
+
+
 @query
 def q_kde_grid(spark, folder):
     grid = kde.density_grid(_located(spark, folder))
@@ -427,7 +451,6 @@ def q_smote_counts(spark, folder):
 
 # Smaller than the full presets, so that all models can be compared in one sitting.
 QUICK = classifiers.Presets(
-    iterations=200,
     forest_trees=20,
     forest_depth=8,
     depthwise=BoostingPreset(rounds=5, depth=6, rate=0.3),
@@ -502,7 +525,7 @@ def q_severity_scores(spark, folder):
 @query
 def q_risk_model(spark, folder):
     lookup = cut(risk.risk_lookup(featured(spark, folder)))
-    model = risk_model.fit_risk_model(lookup, trees=30)
+    model = risk_model.fit_risk_model(lookup)
     fitted = risk_model.score_segments(model, lookup)
     return lookup.select(*C.SEGMENT_KEYS, "n_accidents", F.col("risk_score").alias("observed")).join(
         fitted, C.SEGMENT_KEYS
@@ -512,7 +535,7 @@ def q_risk_model(spark, folder):
 @query
 def q_risk_grid(spark, folder):
     lookup = cut(risk.risk_lookup(featured(spark, folder)))
-    model = risk_model.fit_risk_model(lookup, trees=30)
+    model = risk_model.fit_risk_model(lookup)
     return risk_model.score_segments(model, risk_model.all_segments(spark))
 
 
@@ -533,7 +556,7 @@ def q_linear_attrib(spark, folder):
     return _rounded(attribution.linear_attributions(table, table, terms), ["phi"])
 
 
-def _attributions(spark, folder, background=10):
+def _attributions(spark, folder, background=C.BACKGROUND_ROWS):
     parts, model = _fitted(spark, folder, "logistic_regression")
     sample = attribution.background_sample(parts.train, background)
     return attribution.shapley_values(model, parts.test, sample)
