@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kerbstone.operators.spatial import dbscan as D
 from kerbstone.operators.spatial import kde, kmeans
-from kerbstone.operators.spatial.silhouette import silhouette
+from kerbstone.operators.spatial.silhouette import silhouette, whole_silhouette
 
 RADIUS = 6371.0088
 
@@ -138,3 +138,21 @@ def test_silhouette_equals_the_definition(spark):
     assert silhouette(df.where("k = 0"), "x", "y", "k").first()[0] is None
     few = silhouette(df, "x", "y", "k", sample=40).first()[0]
     assert -1 <= few <= 1
+
+
+def test_whole_silhouette_equals_the_definition(spark):
+    rng = np.random.default_rng(5)
+    label = np.append(rng.integers(0, 3, 60), 3)  # the last label has one record
+    xy = rng.normal(size=(61, 2)) + label[:, None]
+    values = []
+    for i in range(61):
+        far = ((xy - xy[i]) ** 2).sum(axis=1)
+        own = label == label[i]
+        a = far[own].sum() / max(own.sum() - 1, 1)
+        b = min(far[label == k].mean() for k in range(4) if k != label[i])
+        values.append((b - a) / max(a, b) if own.sum() > 1 else 0.0)
+    rows = [(float(x), float(y), f"zone {k}") for (x, y), k in zip(xy, label)]
+    df = spark.createDataFrame([*rows, (None, 1.0, "zone 9"), (1.0, 1.0, None)], "x double, y double, k string")
+    assert whole_silhouette(df, "x", "y", "k").first()[0] == pytest.approx(np.mean(values))
+    assert whole_silhouette(df.where("k = 'zone 0'"), "x", "y", "k").first()[0] is None
+    assert whole_silhouette(df.limit(0), "x", "y", "k").first()[0] is None
