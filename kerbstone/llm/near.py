@@ -291,7 +291,8 @@ def near_groups(
         .mapInArrow(cell_edges, "a binary, b binary")
     )
     edges = cut(small.union(large).distinct())
-    members = edges.select(F.col("a").alias("key")).union(edges.select(F.col("b").alias("key"))).distinct()
+    # written, so that the joins of the components shuffle both sides for themselves
+    members = cut(edges.select(F.col("a").alias("key")).union(edges.select(F.col("b").alias("key"))).distinct())
     clusters = cut(connected_components(members, edges).join(
         nodes.select(F.col("node").alias("key"), "id", "copies", "n"), "key"))
 
@@ -323,7 +324,7 @@ def near_groups(
     )
     joined = links.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
     joined = cut(joined)
-    ends = joined.select(F.col("a").alias("key")).union(joined.select(F.col("b").alias("key"))).distinct()
+    ends = cut(joined.select(F.col("a").alias("key")).union(joined.select(F.col("b").alias("key"))).distinct())
     classes = connected_components(ends, joined)
     least = (
         classes.join(nodes.select(F.col("node").alias("key"), "id"), "key")
