@@ -24,8 +24,8 @@ from kerbstone.llm.batches import with_text_columns
 ORDER_BITS = (12, 15, 17)
 #: Labelled rows that are learned from, for each language at most ...
 TRAIN_PER_LANG = 300
-#: ... and of them landmarks.
-LANDMARKS_PER_LANG = 48
+#: ... and of them landmarks, of which there are so many in all at most (one of a language at least).
+LANDMARKS_PER_LANG, LANDMARKS = 48, 1024
 #: A longer text is not learned from; every text is scored whole.
 TRAIN_CHARS = 20_000
 #: Languages that are learned, the most frequent first.
@@ -109,22 +109,34 @@ class Model:
         return langs, scores
 
 
-def fit(texts: list[str], langs: list[str], per_lang: int = LANDMARKS_PER_LANG) -> Model:
-    """Nyström kernel ridge regression; the first texts of each language are landmarks."""
-    kept = [(t, lang) for text, lang in zip(texts, langs) if (t := presence(text)) is not None]
+def unpacked(tables: list[np.ndarray]) -> list[np.ndarray]:
+    return [np.unpackbits(t, count=TABLE).view(bool) for t in tables]
+
+
+def fit(texts: list[str], langs: list[str], per_lang: int = LANDMARKS_PER_LANG, most: int = LANDMARKS) -> Model:
+    """Nyström kernel ridge regression; the first texts of each language are landmarks.
+
+    Presence tables are kept as bits and opened ``BATCH`` at a time.
+    """
+    kept = [(np.packbits(t), lang) for text, lang in zip(texts, langs) if (t := presence(text)) is not None]
     names = sorted({lang for _, lang in kept})
     empty = np.zeros((0, 0), dtype=np.float32)
     if not names:
         return Model([], np.zeros(0, dtype=np.int64), empty, empty)
+    per_lang = min(per_lang, max(1, most // len(names)))
     marks = [t for name in names for t in [t for t, lang in kept if lang == name][:per_lang]]
-    columns = np.flatnonzero(np.any(marks, axis=0))
+    columns = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(marks), count=TABLE))
     model = Model(names, columns, empty, empty)
-    model.landmarks = model.rows(marks)
-    among = model.kernel(marks).astype(np.float64)
+    model.landmarks = np.concatenate([
+        model.rows(unpacked(marks[at:at + BATCH])) for at in range(0, len(marks), BATCH)
+    ])
+    among = np.concatenate([
+        model.kernel(unpacked(marks[at:at + BATCH])) for at in range(0, len(marks), BATCH)
+    ]).astype(np.float64)
     target = np.array([[1.0 if lang == name else -1.0 for name in names] for _, lang in kept])
     left, right = np.zeros_like(among), np.zeros((len(marks), len(names)))
     for at in range(0, len(kept), BATCH):
-        part = model.kernel([t for t, _ in kept[at:at + BATCH]]).astype(np.float64)
+        part = model.kernel(unpacked([t for t, _ in kept[at:at + BATCH]])).astype(np.float64)
         left += part.T @ part
         right += part.T @ target[at:at + BATCH]
     left += RIDGE * among + 1e-6 * np.eye(len(marks))

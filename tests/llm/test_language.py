@@ -39,6 +39,13 @@ def test_the_kernel_counts_shared_ngrams():
     assert abs(model.kernel([b])[0, 0] - 1) < 1e-6
 
 
+def test_landmarks_are_bounded_and_the_texts_still_found():
+    model = language.fit(list(TRAIN.values()) * 3, list(TRAIN) * 3, most=4)
+    assert len(model.landmarks) == 3
+    assert model.predict(list(TRAIN.values()))[0] == list(TRAIN)
+    assert len(language.fit(list(TRAIN.values()) * 3, list(TRAIN) * 3).landmarks) == 9
+
+
 def test_edge_cases(spark):
     model = language.fit(list(TRAIN.values()) * 3, list(TRAIN) * 3)
     texts = [None, "", "12 !? 3", "der garten und das haus", "THE GARDEN AND THE HOUSE", "le jardin " * 60_000]
