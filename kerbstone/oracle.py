@@ -386,6 +386,15 @@ FROM decoded GROUP BY severity""",
 ORDER BY risk_score DESC, road_type, junction_type, weather, hour_bucket, is_weekend LIMIT 15""",
     )
 
+    sql["q_risk_rule"] = _sql(
+        "risk",
+        f"""SELECT {", ".join(C.SEGMENT_KEYS)}, round_even(score * 100, 0) / 100 AS risk_score,
+ CASE WHEN score < 25 THEN 'Low' WHEN score < 50 THEN 'Medium' WHEN score < 75 THEN 'High' ELSE 'Critical' END AS risk_level
+FROM (SELECT *, greatest(0.0, least(100.0,
+  CAST((length(road_type) * 37 + length(junction_type) * 23 + length(weather) * 11
+    + length(hour_bucket) * 5 + is_weekend * 70) % 500 - 60 AS DOUBLE) / 3)) AS score FROM risk)""",
+    )
+
     # --- sampling ---
     sql["q_sample"] = _sql(
         "featured",
@@ -407,6 +416,24 @@ ORDER BY md5(coalesce(accident_id, '') || ':42'), accident_id NULLS LAST LIMIT 4
         """SELECT accident_id, round(p0, 6) AS p_minor, round(p1, 6) AS p_serious, round(p2, 6) AS p_fatal,
  ['Minor', 'Serious', 'Fatal'][argmax + 1] AS argmax_prediction,
  ['Minor', 'Serious', 'Fatal'][prediction + 1] AS recall_oriented_prediction FROM standin""",
+    )
+    sql["q_severity_rule"] = sql["q_threshold"]
+    sql["q_rank_rules"] = _sql(
+        "standin",
+        """SELECT model, round(fatal_recall, 6) AS fatal_recall, round(macro_f1, 6) AS macro_f1,
+ row_number() OVER (ORDER BY fatal_recall DESC, macro_f1 DESC, model) AS place
+FROM (
+  SELECT model, max(CASE WHEN class = 2 THEN coalesce(hits / nullif(support, 0), 0) END) AS fatal_recall,
+         avg(coalesce(2 * hits / nullif(called + support, 0), 0)) AS macro_f1
+  FROM (
+    SELECT model, class, CAST(count(*) FILTER (WHERE label = class AND p = class) AS DOUBLE) AS hits,
+           count(*) FILTER (WHERE label = class) AS support, count(*) FILTER (WHERE p = class) AS called
+    FROM (SELECT 'always_minor' AS model, label, 0 AS p FROM standin
+          UNION ALL SELECT 'always_fatal', label, 2 FROM standin
+          UNION ALL SELECT 'most_likely', label, argmax FROM standin
+          UNION ALL SELECT 'recall_oriented', label, prediction FROM standin), (VALUES (0), (1), (2)) k(class)
+    GROUP BY model, class)
+  GROUP BY model)""",
     )
     sql["q_confusion"] = _sql("matrix", "SELECT actual, predicted, n FROM matrix")
     sql["q_class_report"] = _sql(
@@ -569,4 +596,21 @@ WHERE class_rank > floor(class_size * CAST(0.2 AS DOUBLE) + 0.5) GROUP BY 1"""
             for c, t in terms.items()
         ),
     )
+    phi = "SELECT * FROM (\n" + "\nUNION ALL ".join(
+        f"SELECT accident_id, '{c}' AS feature, round({t} - (SELECT avg({t}) FROM featured), 6) AS phi FROM featured"
+        for c, t in terms.items()
+    ) + ")"
+    sql["q_linear_importance"] = _sql(
+        "featured",
+        """SELECT feature, round(avg(abs(phi)), 6) AS importance FROM phi GROUP BY feature
+ORDER BY avg(abs(phi)) DESC, feature LIMIT 5""",
+        more={"phi": phi},
+    )
+    sql["q_linear_strongest"] = _sql(
+        "featured",
+        """SELECT accident_id, feature, phi, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY accident_id ORDER BY abs(phi) DESC, feature) AS rank FROM phi)
+WHERE rank <= 8""",
+        more={"phi": phi},
+    )
     return sql

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbstone import constants as C
-from kerbstone.functions.scalars import recall_oriented
+from kerbstone.functions.scalars import most_likely, recall_oriented
 from kerbstone.operators import (
     checks, clean, decode, features, hotspots, metrics, profile, risk, sampling,
 )
@@ -285,6 +287,28 @@ def q_auc_ovr(spark, folder):
     )
 
 
+@query
+def q_rank_rules(spark, folder):
+    """Four fixed rules, ranked as models are."""
+    p = F.col("probabilities")
+    scored = cut(standin_predictions(spark, folder).select("label", "probabilities", "prediction"))
+    rules = {
+        "always_minor": F.lit(0),
+        "always_fatal": F.lit(C.FATAL_INDEX),
+        "most_likely": most_likely(p),
+        "recall_oriented": F.col("prediction"),
+    }
+    results = None
+    for name, rule in rules.items():
+        report = metrics.class_report(metrics.confusion(scored.withColumn("prediction", rule)))
+        one = metrics.macro_metrics(report).select(F.lit(name).alias("model"), "fatal_recall", "macro_f1")
+        results = one if results is None else results.union(one)
+    # one sorted partition of four rows, numbered as it stands
+    ranked = metrics.rank_models(results).limit(len(rules))
+    place = (F.monotonically_increasing_id() + 1).alias("place")
+    return _rounded(ranked.select("model", "fatal_recall", "macro_f1", place), ["fatal_recall", "macro_f1"])
+
+
 # --- places -------------------------------------------------------------------
 
 
@@ -449,6 +473,12 @@ def q_smote_counts(spark, folder):
 
 # --- models --------------------------------------------------------------------
 
+# A score of a segment by the lengths of its names, the same in any engine.
+SEGMENT_RULE = (
+    "CAST((length(road_type) * 37 + length(junction_type) * 23 + length(weather) * 11"
+    " + length(hour_bucket) * 5 + is_weekend * 70) % 500 - 60 AS DOUBLE) / 3"
+)
+
 # Smaller than the full presets, so that all models can be compared in one sitting.
 QUICK = classifiers.Presets(
     forest_trees=20,
@@ -522,6 +552,32 @@ def q_severity_scores(spark, folder):
     )
 
 
+@query
+def q_severity_rule(spark, folder):
+    """Scores and decisions of a stored model whose three scores are a fixed rule."""
+    rule = SQLTransformer(statement="""
+SELECT *, a / (a + b + c) AS p0, b / (a + b + c) AS p1, c / (a + b + c) AS p2 FROM (
+  SELECT *, CAST(1 + (speed_limit * 3 + hour * 5 + weather_severity_index * 7) % 50 AS DOUBLE) AS a,
+    CAST(1 + (num_vehicles_involved * 11 + hour * 3 + is_rush_hour * 17) % 30 AS DOUBLE) AS b,
+    CAST(1 + (is_night * 9 + speed_limit + weather_severity_index * 5 + is_weekend * 4) % 20 AS DOUBLE) AS c
+  FROM __THIS__)""")
+    table = features.model_table(featured(spark, folder))
+    scored = classifiers.severity_scores(PipelineModel(stages=[rule]), table)
+    return scored.select(
+        "accident_id",
+        *[F.round(F.col("probabilities")[s], 6).alias(f"p_{s.lower()}") for s in C.SEVERITIES],
+        "argmax_prediction", "recall_oriented_prediction",
+    )
+
+
+@query
+def q_risk_rule(spark, folder):
+    """Score and band of every observed segment by a fixed rule that leaves 0-100 on both sides."""
+    rule = SQLTransformer(statement=f"SELECT *, {SEGMENT_RULE} AS prediction FROM __THIS__")
+    lookup = risk.risk_lookup(featured(spark, folder))
+    return risk_model.score_segments(PipelineModel(stages=[rule]), lookup)
+
+
 @query
 def q_risk_model(spark, folder):
     lookup = cut(risk.risk_lookup(featured(spark, folder)))
@@ -541,9 +597,7 @@ def q_risk_grid(spark, folder):
 
 # --- explanations ----------------------------------------------------------------
 
-@query
-def q_linear_attrib(spark, folder):
-    """Attributions of a linear score with fixed coefficients, against the whole table."""
+def _linear_attributions(spark, folder):
     terms = attribution.linear_terms(
         {
             "weather": C.WEATHER_WEIGHTS,
@@ -556,6 +610,24 @@ def q_linear_attrib(spark, folder):
     return _rounded(attribution.linear_attributions(table, table, terms), ["phi"])
 
 
+@query
+def q_linear_attrib(spark, folder):
+    """Attributions of a linear score with fixed coefficients, against the whole table."""
+    return _linear_attributions(spark, folder)
+
+
+@query
+def q_linear_importance(spark, folder):
+    """Which columns move that score most on average."""
+    return _rounded(attribution.global_importance(_linear_attributions(spark, folder), top=5), ["importance"])
+
+
+@query
+def q_linear_strongest(spark, folder):
+    """Which columns move each row's score most."""
+    return attribution.strongest(_linear_attributions(spark, folder))
+
+
 def _attributions(spark, folder, background=C.BACKGROUND_ROWS):
     parts, model = _fitted(spark, folder, "logistic_regression")
     sample = attribution.background_sample(parts.train, background)
