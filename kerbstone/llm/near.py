@@ -201,12 +201,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 def compared(rows: pd.DataFrame, threshold: int, size: int) -> pd.DataFrame:
     """The exact links of one cluster, or of two of its blocks: sums and roots per node."""
-    rows = rows.drop_duplicates("node")
     sets = [shingles(t, size) for t in rows["text"]]
-    right = [node_of(t, s) == bytes(n) for t, s, n in zip(rows["text"], sets, rows["node"])]
-    rows, sets = rows[right], [s for s, ok in zip(sets, right) if ok]
-    if len(rows) == 0:
-        return pd.DataFrame({"node": [], "root": [], "links": []})
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     shared = overlaps(sets)
     linked = 100 * shared >= threshold * (sizes[:, None] + sizes[None, :] - shared)
@@ -227,6 +222,7 @@ def near_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
+    row_col: str | None = None,
     threshold: int = THRESHOLD,
     shingle: int = SHINGLE,
     trees: int = TREES,
@@ -246,6 +242,11 @@ def near_groups(
     identical texts only. A null id is larger than any other; a class of only
     such rows has a null ``class_id``. Repeated rows are copies. Other columns
     are not read; no rows give no rows.
+
+    ``row_col`` names a column of ``docs`` that is stored and differs in every
+    row. With it the result also has that column and ``class_row``, the value
+    of the one row that stands for the class: of those with the smallest id,
+    nulls last, the smallest.
     """
     fit = matched_depth(threshold / 100, trees, depth, recall)
 
@@ -262,13 +263,18 @@ def near_groups(
 
     types = {"node": T.BinaryType(), "n": T.LongType(),
              "prefixes": T.ArrayType(T.LongType()), "sig": T.BinaryType()}
-    source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sketches = cut(with_text_columns(source, "text", sketched, types, ["id"]))
+    # Ids may be null or repeated, so a text is found again by a key of its row.
+    row = F.monotonically_increasing_id() if row_col is None else F.col(f"`{row_col}`")
+    source = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    if row_col is None:
+        source = cut(source)
+    sketches = cut(with_text_columns(source, "text", sketched, types, ["row", "id"]))
 
     # A node is a shingle set: its copies are counted where they are read.
     nodes = cut(
         sketches.groupBy("node").agg(
-            F.min("id").alias("id"), F.count("*").alias("copies"), F.max("n").alias("n"),
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"),
+            F.count("*").alias("copies"), F.max("n").alias("n"),
             F.max("prefixes").alias("prefixes"), F.max("sig").alias("sig"),
         )
     )
@@ -294,7 +300,7 @@ def near_groups(
     # written, so that the joins of the components shuffle both sides for themselves
     members = cut(edges.select(F.col("a").alias("key")).union(edges.select(F.col("b").alias("key"))).distinct())
     clusters = cut(connected_components(members, edges).join(
-        nodes.select(F.col("node").alias("key"), "id", "copies", "n"), "key"))
+        nodes.select(F.col("node").alias("key"), F.col("first.row").alias("row"), "copies", "n"), "key"))
 
     # Blocks of bounded size: small clusters share one, large ones have several
     # and each two of them are compared.
@@ -306,7 +312,7 @@ def near_groups(
         .withColumn("pair", F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda b: F.struct(F.least(b, F.col("block")).alias("i"), F.greatest(b, F.col("block")).alias("j")))))
-        .select(F.col("key").alias("node"), F.col("id").alias("_id"), "copies", "component", "blocks", "block", "pair.*")
+        .select(F.col("key").alias("node"), F.col("row").alias("_row"), "copies", "component", "blocks", "block", "pair.*")
     )
     compare = functools.partial(compared, threshold=threshold, size=shingle)
 
@@ -317,7 +323,7 @@ def near_groups(
     bins = F.greatest(F.lit(1), F.ceil(F.lit(clusters.count()) / (4 * block)))
     group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), bins)).otherwise(F.xxhash64("component", F.lit(1)))
     links = cut(
-        source.join(placed.hint("merge"), F.col("id").eqNullSafe(F.col("_id")))
+        source.join(placed.hint("merge"), F.col("row") == F.col("_row"))
         .select("text", "node", "copies", "component", "block", "i", "j", group.alias("g"))
         .groupBy("g", "i", "j")
         .applyInPandas(of_group, "node binary, root binary, links long")
@@ -327,25 +333,30 @@ def near_groups(
     ends = cut(joined.select(F.col("a").alias("key")).union(joined.select(F.col("b").alias("key"))).distinct())
     classes = connected_components(ends, joined)
     least = (
-        classes.join(nodes.select(F.col("node").alias("key"), "id"), "key")
-        .groupBy("component").agg(F.min("id").alias("class_id"))
+        classes.join(nodes.select(F.col("node").alias("key"), "first"), "key")
+        .groupBy("component").agg(F.min("first").alias("least"))
     )
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     known = cut(
-        nodes.select("node", "id", "copies")
+        nodes.select("node", "first", "copies")
         .join(counted, "node", "left")
-        .join(classes.join(least, "component").select(F.col("key").alias("node"), "class_id"), "node", "left")
+        .join(classes.join(least, "component").select(F.col("key").alias("node"), "least"), "node", "left")
         .select(
             F.col("node").alias("_node"),
-            F.coalesce("class_id", "id").alias("class_id"),
+            F.coalesce("least", "first").alias("least"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
         .where("n_links > 0")
     )
     # both sides are shuffled for this join alone, so a set that a third of all
     # rows have is a partition that adaptive execution can split
-    return sketches.select("id", "node").join(known.hint("merge"), F.col("node") == F.col("_node"), "left").select(
+    alone = F.col("_node").isNull()
+    rows = [] if row_col is None else [
+        F.col("row").alias(row_col), F.when(alone, F.col("row")).otherwise(F.col("least.row")).alias("class_row"),
+    ]
+    return sketches.select("row", "id", "node").join(known.hint("merge"), F.col("node") == F.col("_node"), "left").select(
         F.col("id").alias(id_col),
-        F.when(F.col("_node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("least.id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+        *rows,
     )

@@ -58,6 +58,19 @@ def test_families_in_small_blocks_and_cells(spark):
     assert whole(near.near_groups(frame, block=8, cell=4)) == want
 
 
+def test_null_and_repeated_ids(spark):
+    rng = random.Random(12)
+    same, none = family(rng, 12, changes=3), family(rng, 30, changes=3)
+    rows = [(None, text) for text in none + family(rng, 1)] + [(7, text) for text in same + family(rng, 3)]
+    rows += [(7, same[0]), (None, none[0]), (9, none[1] + " more")]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = expected(rows)
+    assert sum(n > 0 for _, _, n in want) > 30
+    assert whole(near.near_groups(frame)) == want
+    assert whole(near.near_groups(frame, block=8, cell=4)) == want
+
+
 def test_given_table(spark):
     docs = table(spark, "documents")
     want = expected([(r["doc_id"], r["text"]) for r in docs.collect()])
