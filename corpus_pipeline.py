@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbstone.llm import bpe, language
+from kerbstone.llm.batches import with_text_columns
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.lines import dedup_lines
 from kerbstone.llm.near import near_groups
@@ -23,16 +25,25 @@ ORACLE_SQL = None
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no language: those whose text is null or has no letter.
 
-    Where no document has a language to learn from, nothing can be rejected and
-    all stay.
+    These are the same whether or not any document has a language to learn from.
     """
     model = language.learn(docs)
     if not model.langs:
-        return docs
+        name = new_name(docs, "_lettered")
+        found = with_text_columns(
+            docs, "text", lambda texts: {name: [bool(language.letters(t)) for t in texts]}, {name: T.BooleanType()})
+        return found.where(F.col(name)).select(docs.columns)
     found = language.identify(docs, model, keep=docs.columns)
     return found.where(F.col("lang_pred") != language.UNKNOWN).select(docs.columns)
 
 
+def new_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer if ``docs`` has such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace each text by its lines that stay; ``n_chars`` is counted anew."""
     kept = dedup_lines(docs)
@@ -43,14 +54,15 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates.
+    """Keep one row of each group of near-duplicates: one with the smallest id, nulls last.
 
-    Documents without id cannot be told apart and stay.
+    Rows are told apart by a stored key, so repeated rows and rows without id
+    are copies like others.
     """
-    others = cut(
-        near_groups(docs).where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
-    )
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    row = new_name(docs, "_row")
+    keyed = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    others = cut(near_groups(keyed, row_col=row).where(F.col("class_row") != F.col(row)).select(row))
+    return keyed.join(others, row, "left_anti").select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

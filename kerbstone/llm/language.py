@@ -39,14 +39,19 @@ NO_LETTERS = re.compile(r"[\W\d_]+")
 TABLE = sum(1 << b for b in ORDER_BITS)
 
 
+def letters(text: str) -> str:
+    """A text's letters, lower-cased, with a space for all between them."""
+    return NO_LETTERS.sub(" ", text.lower()).strip()
+
+
 def presence(text: str) -> np.ndarray | None:
     """Which hashed n-grams a text's letters make; nothing if it has no letter."""
-    letters = NO_LETTERS.sub(" ", text.lower()).strip()
-    if not letters:
+    shown = letters(text)
+    if not shown:
         return None
     found = np.zeros(TABLE, dtype=bool)
-    for at in range(0, len(letters), PART_CHARS):
-        part = f" {letters[at:at + PART_CHARS + 2]} "
+    for at in range(0, len(shown), PART_CHARS):
+        part = f" {shown[at:at + PART_CHARS + 2]} "
         codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         first = 0
         for order, bits in enumerate(ORDER_BITS):

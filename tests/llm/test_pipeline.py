@@ -36,3 +36,30 @@ def test_stages_keep_columns_and_empty_tables(spark, small):
             assert out.columns == docs.columns, name
             assert out.count() <= frame.count()
         assert corpus_pipeline.STAGES[-1][1](spark, frame, small).count() == frame.count()
+
+
+def test_one_row_of_each_group_stays(spark):
+    import random
+
+    from test_near import family
+
+    rng = random.Random(13)
+    near, none = family(rng, 6, changes=1), family(rng, 6, changes=1)
+    rows = [(i + 3, t) for i, t in enumerate(near)] + [(3, near[0]), (3, near[0]), (None, near[1])]
+    rows += [(None, t) for t in none + none[:2]] + [(3, "another text"), (None, "alone and without id"), (None, None)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("clash"))
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "").collect()
+    assert all(r["_row"] == "clash" for r in kept)
+    kept = [(r["doc_id"], r["text"]) for r in kept]
+    assert [d for d, t in kept if t in near] == [3]
+    assert [d for d, t in kept if t in none] == [None]
+    assert (3, "another text") in kept and (None, "alone and without id") in kept and (None, None) in kept
+    assert len(kept) == 5
+
+
+def test_texts_without_letters_go_without_labels_too(spark):
+    docs = documents(spark, ["some words", None, "", "123 --- 45", "\u00e9"]).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["text"] for r in kept.collect()) == ["some words", "\u00e9"]
