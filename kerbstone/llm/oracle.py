@@ -123,10 +123,101 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 FROM texts JOIN groups USING (t)
 """
 
+
+
+def _way(before: str, cost: str, letter: str) -> str:
+    """A way (twelve digits of cost, then letters) with one more edit."""
+    return f"printf('%012d', CAST(left({before}, 12) AS BIGINT) + {cost}) || substr({before}, 13) || '{letter}'"
+
+
+# The cheapest ways to each state, turn by turn: v0 nothing yet, v1 after s, v2 after u, v3 after a.
+# least() of twelve digits and letters takes the cheapest, then the least letters; it skips nulls.
+_PUT_U = f"least(v2, {_way('v0', '5', 'I')}, {_way('v1', '5', 'I')}, {_way('v3', '5', 'I')})"
+_TWO_PUT = _way("{0}", "10", "II")
+OP11 = f"""
+WITH RECURSIVE source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                        lambda c: CAST(ascii(c) AS BIGINT)) AS codes
+  FROM conversations
+), cased AS (
+  SELECT conv_id, turn, role, text, xor(CAST(4294967295 AS BIGINT), list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), codes), lambda crc, code: list_reduce(
+      list_prepend(xor(crc, code), range(8)), lambda x, n: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS fault
+  FROM source
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE fault WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM cased
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+         rtrim(text, {_WHITE}) AS trimmed, left(role, 1) AS k
+  FROM damaged
+), repeated AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         lag(k) OVER (PARTITION BY conv_id ORDER BY i) || k AS met
+  FROM numbered
+), faults AS (
+  SELECT *, trimmed = '' AS blank, trimmed <> '' AND again AS duplicate,
+         trimmed <> '' AND NOT again AND right(trimmed, 1) NOT IN ('.', '!', '?') AS truncated
+  FROM repeated
+), sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (met NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faults GROUP BY conv_id
+), moves AS (
+  SELECT conv_id, i, k, CASE WHEN blank OR duplicate THEN NULL WHEN truncated THEN 5 ELSE 0 END AS kept FROM faults
+), walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, printf('%012d', 0) AS v0, CAST(NULL AS VARCHAR) AS v1,
+         CAST(NULL AS VARCHAR) AS v2, CAST(NULL AS VARCHAR) AS v3 FROM sums
+  UNION ALL
+  SELECT conv_id, i,
+    {_way('v0', '2', 'D')},
+    least({_way('v1', '2', 'D')}, CASE WHEN k = 's' THEN {_way('v0', 'kept', 'K')} END),
+    least({_way('v2', '2', 'D')},
+      CASE WHEN k = 'u' THEN {_way('least(v0, v1, v3)', 'kept', 'K')} ELSE {_way('least(v0, v1, v3)', 'kept + 1', 'R')} END),
+    least({_way('v3', '2', 'D')},
+      CASE WHEN k = 'a' THEN {_way('v2', 'kept', 'K')} ELSE {_way('v2', 'kept + 1', 'R')} END)
+  FROM (
+    SELECT m.conv_id, m.i, k, kept, v0, v1, u AS v2, least(v3, {_way('u', '5', 'I')}) AS v3
+    FROM (SELECT *, {_PUT_U} AS u FROM walk) w
+    JOIN moves m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i + 1
+  )
+), ends AS (
+  SELECT conv_id, CAST(left(best, 12) AS BIGINT) AS cost, substr(best, 13) AS audit FROM (
+    SELECT s.conv_id, least(v0, v3, {_TWO_PUT.format('v0')},
+      {_TWO_PUT.format('v1')}, {_way('v2', '5', 'I')}) AS best
+    FROM walk w JOIN sums s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.i)
+), letters AS (
+  SELECT conv_id, p, audit[p] AS letter, length(replace(audit[1:p], 'I', '')) AS i,
+         length(replace(audit[1:p], 'D', '')) AS place, length(replace(audit, 'D', '')) AS places
+  FROM ends, LATERAL (SELECT unnest(range(1, length(audit) + 1)) AS p)
+), lines AS (
+  SELECT l.conv_id, p, CASE WHEN letter = 'K' THEN f.role
+           WHEN (places - place) % 2 = 0 THEN 'assistant' ELSE 'user' END || ':'
+         || CASE WHEN letter = 'I' THEN '' ELSE f.text END AS line
+  FROM letters l LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i AND letter <> 'I'
+  WHERE letter <> 'D'
+), digests AS (
+  SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY p)) AS repaired_sha256 FROM lines GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN digests d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_chat_format": OP1,
     "op2_line_dedup": OP2,
     "op6_decontaminate": OP6,
     "op8_warc": OP8,
     "op10_exact_dedup": OP10,
+    "op11_structure_repair": OP11,
 }

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbstone.llm import bpe, chat, html, language, pii, warc
+from kerbstone.llm import bpe, chat, html, language, pii, structure, warc
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.exact import exact_groups
 from kerbstone.llm.lines import dedup_lines
@@ -135,6 +135,21 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(_table(spark, folder, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    source = _table(spark, folder, "conversations")
+    found = structure.repair(structure.damage(source))
+    ends = structure.digests(structure.transcripts(found.turns))
+    every = source.select(F.col("conv_id").alias("conv")).distinct()
+    rows = every.unionByName(found.conversations, allowMissingColumns=True).unionByName(
+        ends, allowMissingColumns=True)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return rows.groupBy(F.col("conv").alias("conv_id")).agg(
+        *[F.coalesce(F.max(c), F.lit(0).cast("bigint")).alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: value for name, value in globals().items() if name.startswith("op") and callable(value)
 }
