@@ -213,6 +213,28 @@ LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN digests d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
+_TERMS = "unnest(regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+OP12 = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, text FROM documents
+), asked AS (SELECT row_number() OVER () AS q, item_id, text FROM benchmark
+), tfs AS (SELECT d, t, count(*) AS tf FROM (SELECT d, {_TERMS} AS t FROM docs) GROUP BY d, t
+), lengths AS (SELECT d, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY d
+), totals AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM lengths
+), norms AS (SELECT d, 100 - 25 + (25 * n * nn) // ll AS m FROM lengths, totals
+), weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(nn) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY t
+), terms AS (SELECT q, t, count(*) AS times FROM (SELECT q, {_TERMS} AS t FROM asked) GROUP BY q, t
+), scores AS (
+  SELECT q, d, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM terms JOIN tfs USING (t) JOIN weights USING (t) JOIN norms USING (d) GROUP BY q, d
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores JOIN docs USING (d) JOIN asked USING (q) WHERE score > 0
+) WHERE rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op1_chat_format": OP1,
     "op2_line_dedup": OP2,
@@ -220,4 +242,5 @@ ORACLE: dict[str, str] = {
     "op8_warc": OP8,
     "op10_exact_dedup": OP10,
     "op11_structure_repair": OP11,
+    "op12_ranked_search": OP12,
 }

@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbstone.llm import bpe, chat, html, language, pii, structure, warc
+from kerbstone.llm import bpe, chat, fingerprint, html, language, pii, structure, warc
 from kerbstone.llm.decontaminate import decontaminate
 from kerbstone.llm.exact import exact_groups
 from kerbstone.llm.lines import dedup_lines
 from kerbstone.llm.near import near_groups
+from kerbstone.llm.search import search
 from kerbstone.plans.cut import scratch_root
 
 
@@ -150,6 +151,21 @@ def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprint.fingerprints(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.shown(F.col("fingerprint")).alias("fingerprint"),
+        fingerprint.shown(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        fingerprint.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprint.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: value for name, value in globals().items() if name.startswith("op") and callable(value)
 }
