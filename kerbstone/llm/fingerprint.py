@@ -105,7 +105,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
 
 def shown(packed: Column) -> Column:
     """A packed fingerprint as hexadecimal digits, one for each bin."""
-    return F.array_join(F.transform(packed, lambda x: F.lpad(F.hex(x), PACKED, "0")), "")
+    return F.array_join(F.transform(packed, lambda x: F.lpad(F.lower(F.hex(x)), PACKED, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
