@@ -596,6 +596,65 @@ WHERE class_rank > floor(class_size * CAST(0.2 AS DOUBLE) + 0.5) GROUP BY 1"""
             for c, t in terms.items()
         ),
     )
+    # the tree of q_tree_rule on every mix of a record's and a background row's four numbers
+    four = ["speed_limit", "hour", "num_vehicles_involved", "is_night"]
+    mixed = ", ".join(f"CASE WHEN s & {1 << i} > 0 THEN p.{c} ELSE b.{c} END AS {c}" for i, c in enumerate(four))
+    same = " AND ".join(f"x.{c} = y.{c}" for c in four)
+    sql["q_tree_rule"] = _sql(
+        "featured",
+        f"""SELECT f.accident_id, feature, round(phi, 6) AS phi
+FROM featured f JOIN phis x ON {same.replace('y.', 'f.')}""",
+        {
+            "profiles": f"SELECT DISTINCT {', '.join(four)} FROM featured",
+            "held": f"""SELECT {', '.join(four)} FROM featured
+ORDER BY md5(coalesce(accident_id, '') || ':42'), accident_id NULLS LAST LIMIT 200""",
+            "others": f"SELECT {', '.join(four)}, count(*) AS n FROM held GROUP BY ALL",
+            "mixes": f"""SELECT {', '.join(f'p.{c} AS p_{c}' for c in four)}, s, n, {mixed}
+FROM profiles p, others b, range(16) r(s)""",
+            "means": f"""SELECT {', '.join(f'p_{c} AS {c}' for c in four)}, s, sum(n * CASE
+    WHEN speed_limit <= 40 THEN CASE WHEN hour <= 12 THEN CAST(0.1 AS DOUBLE) ELSE 0.35 END
+    WHEN num_vehicles_involved > 1 THEN 0.9 WHEN is_night <= 0 THEN 0.45
+    WHEN hour <= 5 THEN 0.8 ELSE 0.6 END) / sum(n) AS f
+FROM mixes GROUP BY ALL""",
+            "phis": "\nUNION ALL ".join(f"""SELECT {', '.join(f'x.{c}' for c in four)}, '{four[i]}' AS feature,
+  sum((y.f - x.f) / CASE WHEN bit_count(x.s) IN (0, 3) THEN 4 ELSE 12 END) AS phi
+FROM means x JOIN means y ON {same} AND y.s = x.s + {1 << i} AND x.s & {1 << i} = 0
+GROUP BY {', '.join(f'x.{c}' for c in four)}""" for i in range(4)),
+        },
+    )
+    # gradients and curvatures of the first round, as the multiples of 2^-24 they are rounded to
+    numbers = {
+        "speed_limit": [20, 30, 40, 50, 60], "num_vehicles_involved": [1, 2, 3], "hour": list(range(23)),
+        "is_weekend": [0], "is_rush_hour": [0], "is_night": [0], "weather_severity_index": list(range(6)),
+    }
+    unit = "CAST(16777216 AS DOUBLE)"
+    sql["q_boost_split"] = _sql(
+        "featured",
+        f"""SELECT severity, feature, threshold, round(gain, 6) AS gain, n_left, n_right FROM (
+  SELECT *, row_number() OVER (PARTITION BY severity ORDER BY gain DESC, slot, threshold) AS place FROM (
+    SELECT *, lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) - g * g / (h + 1) AS gain
+    FROM sides WHERE lh >= 1 AND h - lh >= 1 AND n_left >= 1 AND n_right >= 1))
+WHERE place = 1""",
+        {
+            "classes": " UNION ALL ".join(f"SELECT '{c}' AS severity, {i} AS c" for i, c in enumerate(C.SEVERITIES)),
+            "edges": "\nUNION ALL ".join(
+                f"SELECT {j} AS slot, '{f}' AS feature, CAST(unnest({es}) AS DOUBLE) AS threshold"
+                for j, (f, es) in enumerate(numbers.items())),
+            "longer": "\nUNION ALL ".join(
+                f"SELECT {j} AS slot, CAST({f} AS DOUBLE) AS x, {_LABEL} AS label FROM featured"
+                for j, f in enumerate(numbers)),
+            "counts": "SELECT slot, x, label, count(*) AS n FROM longer GROUP BY ALL",
+            "steps": f"""SELECT severity, slot, x, n,
+  n * round((CAST(label = c AS INTEGER) - CAST(1 AS DOUBLE) / 3) * {unit}) / {unit} AS g,
+  n * round(2 * (CAST(1 AS DOUBLE) / 3) * (CAST(2 AS DOUBLE) / 3) * {unit}) / {unit} AS h
+FROM counts, classes""",
+            "sides": """SELECT severity, e.slot, feature, threshold, sum(g) AS g, sum(h) AS h,
+  sum(CASE WHEN x <= threshold THEN g ELSE 0 END) AS lg, sum(CASE WHEN x <= threshold THEN h ELSE 0 END) AS lh,
+  CAST(sum(CASE WHEN x <= threshold THEN n ELSE 0 END) AS BIGINT) AS n_left,
+  CAST(sum(CASE WHEN x > threshold THEN n ELSE 0 END) AS BIGINT) AS n_right
+FROM steps s JOIN edges e ON s.slot = e.slot GROUP BY ALL""",
+        },
+    )
     phi = "SELECT * FROM (\n" + "\nUNION ALL ".join(
         f"SELECT accident_id, '{c}' AS feature, round({t} - (SELECT avg({t}) FROM featured), 6) AS phi FROM featured"
         for c, t in terms.items()

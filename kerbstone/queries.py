@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,10 @@ from kerbstone.functions.scalars import most_likely, recall_oriented
 from kerbstone.operators import (
     checks, clean, decode, features, hotspots, metrics, profile, risk, sampling,
 )
-from kerbstone.operators.explain import attribution, surrogate
-from kerbstone.operators.ml import classifiers, encode, knn, risk_model, smote, training
+from kerbstone.operators.explain import attribution, surrogate, tree_shapley
+from kerbstone.operators.ml import boosting, classifiers, encode, knn, risk_model, smote, training
 from kerbstone.operators.ml.boosting import BoostingPreset
+from kerbstone.operators.ml.trees import Tree
 from kerbstone.operators.spatial import dbscan as density
 from kerbstone.operators.spatial import kde, kmeans
 from kerbstone.operators.spatial import silhouette as silhouettes
@@ -639,6 +641,63 @@ def q_shapley(spark, folder):
     return _rounded(_attributions(spark, folder), ["phi"])
 
 
+@query
+def q_tree_shapley(spark, folder):
+    """Exact attributions of a fitted forest, for all rows of the test side."""
+    parts, model = _fitted(spark, folder, "random_forest")
+    sample = attribution.background_sample(parts.train)
+    return _rounded(tree_shapley.tree_shapley_values(model, parts.test, sample), ["phi"])
+
+
+# A tree over four numbers: node, its split's column and threshold, its children, or a leaf's value.
+RULE_COLUMNS = ["speed_limit", "hour", "num_vehicles_involved", "is_night"]
+RULE_TREE = [
+    [0, 1, 2, -1, -1, 3, -1, -1, 1, -1, -1],
+    [40.0, 12.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 5.5, 0.0, 0.0],
+    [1, 3, 5, -1, -1, 7, -1, -1, 9, -1, -1],
+    [2, 4, 6, -1, -1, 8, -1, -1, 10, -1, -1],
+    [0.0, 0.0, 0.0, 0.1, 0.35, 0.0, 0.9, 0.45, 0.0, 0.8, 0.6],
+]
+
+
+@query
+def q_tree_rule(spark, folder):
+    """Exact attributions of that tree, for every record."""
+    table = _model_table(spark, folder)
+    vector = F.array(*[F.col(c).cast("double") for c in RULE_COLUMNS])
+    held = attribution.background_sample(table).select(vector.alias("x")).collect()
+    phi = tree_shapley.attributions_of(
+        table.select("accident_id", vector.alias("x")), np.array([r["x"] for r in held]),
+        [Tree.from_lists(RULE_TREE)], np.arange(len(RULE_COLUMNS)), RULE_COLUMNS, "accident_id")
+    return _rounded(phi, ["phi"])
+
+
+# Upper edges of the bins of each number.
+RULE_EDGES = {
+    "speed_limit": [20.0, 30.0, 40.0, 50.0, 60.0],
+    "num_vehicles_involved": [1.0, 2.0, 3.0],
+    "hour": [float(h) for h in range(23)],
+    "is_weekend": [0.0], "is_rush_hour": [0.0], "is_night": [0.0],
+    "weather_severity_index": [0.0, 1.0, 2.0, 3.0, 4.0, 5.0],
+}
+
+
+@query
+def q_boost_split(spark, folder):
+    """The first split of each class's first boosted tree, over the whole table's numbers."""
+    table = VectorAssembler(inputCols=list(RULE_EDGES), outputCol="features").transform(
+        _model_table(spark, folder).select("label", *[F.col(c).cast("double").alias(c) for c in RULE_EDGES]))
+    edges = list(RULE_EDGES.values())
+    state = cut(boosting.binned(table, edges).withColumn("scores", F.array(*[F.lit(0.0)] * boosting.N_CLASSES)))
+    grown = boosting.grow_round(state, len(edges), 24, [], BoostingPreset(1, depth=1))
+    rows = [
+        (C.SEVERITIES[c], list(RULE_EDGES)[slot], edges[slot][at], gain, *[int(s[2]) for s in tree.nodes[0].sides])
+        for c, tree in enumerate(grown) for gain, slot, at in [tree.nodes[0].split]
+    ]
+    return _rounded(spark.createDataFrame(
+        rows, "severity string, feature string, threshold double, gain double, n_left bigint, n_right bigint"), ["gain"])
+
+
 @query
 def q_global_importance(spark, folder):
     return _rounded(
