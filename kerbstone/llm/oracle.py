@@ -18,7 +18,7 @@ WITH RECURSIVE source AS (
   FROM source
 ), turns AS (
   SELECT *, CAST(ceil(length(text) / 4.0) AS BIGINT) + 3 AS tokens, length(role) + length(text) + 10 AS chars,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, raw) AS i
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(raw, 256), md5(raw)) AS i
   FROM texts
 ), sums AS (
   SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY i) AS past,

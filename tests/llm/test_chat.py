@@ -1,3 +1,5 @@
+import random
+
 from helpers import sha, table, whole
 from pyspark.sql import functions as F
 
@@ -60,14 +62,46 @@ def test_windows_keep_the_budget_repeat_the_system_turn_and_mask_history(spark):
     assert any(w["n_context"] > 1 for w in windows[1:])
 
 
-def test_long_conversations_are_packed_in_segments(spark):
-    rows = [(5, 0, "system", "be brief")] + [(5, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(1, 50)]
-    got = read_back(conversation(spark, rows), segment=8)
+def windows_of(frame, **sizes):
+    rows = chat.format_chats(frame, **sizes).orderBy("conv_id", "segment", "window").collect()
+    return [(r["conv_id"], r["text"], r["n_context"], r["spans"], r["n_tokens"]) for r in rows]
+
+
+def test_windows_do_not_depend_on_where_pieces_begin(spark):
+    rng = random.Random(7)
+    rows = [(5, 0, "system", "be brief")]
+    rows += [(5, i, rng.choice(["user", "assistant"]), "w" * rng.choice([0, 1, 9, 30, 200])) for i in range(1, 700)]
+    rows += [(6, 3 * i, "assistant", "x" * (i % 23)) for i in range(333)] + [(7, 0, "user", "short")]
+    rows += [(None, i, "user", "n" * (i % 7)) for i in range(120)]
+    frame = conversation(spark, rows)
+    sizes = {"budget": 60, "history": 20}
+    whole_ = windows_of(frame, **sizes)
+    assert windows_of(frame, segment=1, fanout=3, **sizes) == whole_
+    got = read_back(frame, segment=1, fanout=3, **sizes)
     check(rows, got)
-    assert {w["segment"] for w in got[5][2]} == set(range(7))
+    assert len({w["segment"] for w in got[5][2]}) > 20
     assert all(w["text"].startswith("<s>system<|>be brief</s>") for w in got[5][2])
 
 
+def test_query_equals_its_sql_for_long_and_hot_conversations(spark, tmp_path):
+    import duckdb
+
+    from kerbstone.llm.oracle import OP1
+    from kerbstone.llm.queries import op1_chat_format
+
+    rng = random.Random(8)
+    text = lambda: rng.choice(["", "a", "Fine. " * 9, "</s>", "long " * 60, "\\<|>"])
+    rows = [(1, i, rng.choice(["user", "assistant"]), text()) for i in range(5000)]
+    rows += [(2, 0, "system", "x" * 90)] + [(2, 10 * i, rng.choice(["user", "assistant"]), text()) for i in range(1, 1500)]
+    rows += [(c, i, "user", None) for c in range(3, 9) for i in range(c)] + [(3, 9, None, "no role"), (4, None, "user", "no turn")]
+    conversation(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    got = op1_chat_format(spark, str(tmp_path))
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({OP1})").fetchall()
+    assert whole(got) == sorted(want, key=repr)
+
+
 def test_query_over_the_given_table(spark, small):
     from kerbstone.llm.queries import op1_chat_format
 
