@@ -10,37 +10,36 @@ landmarks, landmarks by languages.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbstone.llm.batches import with_text_columns
+from kerbstone.plans.cut import cut
 
 #: Bits of the presence table of each order of n-grams: 1, 2 and 3 characters.
 ORDER_BITS = (12, 15, 17)
-#: Labelled rows that are learned from, for each language at most ...
-TRAIN_PER_LANG = 300
-#: ... and of them landmarks, of which there are so many in all at most (one of a language at least).
+#: Labelled rows that are learned from, for each language at most, and in all (two of a language at least).
+TRAIN_PER_LANG, TRAIN_ROWS = 300, 8192
+#: Landmarks among them, of a language at most and in all (one of a language at least).
 LANDMARKS_PER_LANG, LANDMARKS = 48, 1024
-#: A longer text is not learned from; every text is scored whole.
-TRAIN_CHARS = 20_000
-#: Languages that are learned, the most frequent first.
-LANGS = 100
+#: Bytes of the landmarks' matrix, which is sent to the tasks (one landmark of a language at least).
+LANDMARK_BYTES = 256 << 20
 RIDGE = 1e-2
 #: Texts of one matrix product, and characters hashed at once.
 BATCH, PART_CHARS = 64, 1 << 20
 
 UNKNOWN = "und"
-NO_LETTERS = re.compile(r"[\W\d_]+")
+NO_LETTERS = regex.compile(r"\P{L}+")
 TABLE = sum(1 << b for b in ORDER_BITS)
 
 
 def letters(text: str) -> str:
-    """A text's letters, lower-cased, with a space for all between them."""
+    """A text's letters (Unicode category L), lower-cased, with a space for all between them."""
     return NO_LETTERS.sub(" ", text.lower()).strip()
 
 
@@ -119,18 +118,33 @@ def unpacked(tables: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def fit(texts: list[str], langs: list[str], per_lang: int = LANDMARKS_PER_LANG, most: int = LANDMARKS) -> Model:
-    """Nyström kernel ridge regression; the first texts of each language are landmarks.
+    """:func:`fit_tables` of texts; those without letters are left out."""
+    kept = [(np.packbits(t), lang) for text, lang in zip(texts, langs) if (t := presence(text)) is not None]
+    return fit_tables([t for t, _ in kept], [lang for _, lang in kept], per_lang, most)
+
+
+def fit_tables(
+    tables: list[np.ndarray], langs: list[str], per_lang: int = LANDMARKS_PER_LANG, most: int = LANDMARKS
+) -> Model:
+    """Nyström kernel ridge regression; the first rows of each language are landmarks.
 
-    Presence tables are kept as bits and opened ``BATCH`` at a time.
+    Presence tables come packed to bits and are opened ``BATCH`` at a time. Every
+    language is learned: if there are many, each has fewer landmarks.
     """
-    kept = [(np.packbits(t), lang) for text, lang in zip(texts, langs) if (t := presence(text)) is not None]
-    names = sorted({lang for _, lang in kept})
+    names = sorted(set(langs))
     empty = np.zeros((0, 0), dtype=np.float32)
     if not names:
         return Model([], np.zeros(0, dtype=np.int64), empty, empty)
-    per_lang = min(per_lang, max(1, most // len(names)))
-    marks = [t for name in names for t in [t for t, lang in kept if lang == name][:per_lang]]
-    columns = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(marks), count=TABLE))
+    of: dict[str, list[np.ndarray]] = {name: [] for name in names}
+    for table, lang in zip(tables, langs):
+        of[lang].append(table)
+    number = min(per_lang, max(1, most // len(names)))
+    while True:
+        marks = [t for name in names for t in of[name][:number]]
+        columns = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(marks), count=TABLE))
+        if number == 1 or len(marks) * len(columns) * 4 <= LANDMARK_BYTES:
+            break
+        number //= 2
     model = Model(names, columns, empty, empty)
     model.landmarks = np.concatenate([
         model.rows(unpacked(marks[at:at + BATCH])) for at in range(0, len(marks), BATCH)
@@ -138,10 +152,11 @@ def fit(texts: list[str], langs: list[str], per_lang: int = LANDMARKS_PER_LANG,
     among = np.concatenate([
         model.kernel(unpacked(marks[at:at + BATCH])) for at in range(0, len(marks), BATCH)
     ]).astype(np.float64)
-    target = np.array([[1.0 if lang == name else -1.0 for name in names] for _, lang in kept])
+    target = np.full((len(langs), len(names)), -1.0)
+    target[np.arange(len(langs)), np.searchsorted(names, langs)] = 1.0
     left, right = np.zeros_like(among), np.zeros((len(marks), len(names)))
-    for at in range(0, len(kept), BATCH):
-        part = model.kernel(unpacked([t for t, _ in kept[at:at + BATCH]])).astype(np.float64)
+    for at in range(0, len(tables), BATCH):
+        part = model.kernel(unpacked(tables[at:at + BATCH])).astype(np.float64)
         left += part.T @ part
         right += part.T @ target[at:at + BATCH]
     left += RIDGE * among + 1e-6 * np.eye(len(marks))
@@ -162,33 +177,43 @@ def learn(
     text_col: str = "text",
     lang_col: str = "lang",
     per_lang: int = TRAIN_PER_LANG,
+    most: int = TRAIN_ROWS,
 ) -> Model:
-    """Fit on at most ``per_lang`` rows of each of the ``LANGS`` most frequent languages.
+    """Fit on at most ``per_lang`` rows of every language, fewer if that makes more than ``most``.
 
-    The sample is bounded whatever the table's size: rows that are not held
-    out, have a language and a text of at most ``TRAIN_CHARS`` characters, in
-    the order of a hash of their id.
+    Rows that are not held out and have a language and a text with a letter
+    count, in the order of a hash of their id and text; repeated rows are rows
+    of their own. What comes to the driver of a text, however long, is its
+    presence table of 21 KB, so the sample is bounded by rows and languages.
     """
     text = F.col(f"`{text_col}`")
     rows = docs.where(
-        ~held_out(id_col) & F.col(f"`{lang_col}`").isNotNull() & text.isNotNull()
+        ~held_out(id_col) & F.col(f"`{lang_col}`").isNotNull() & text.rlike(r"\p{L}")
     ).select(F.col(f"`{lang_col}`").alias("lang"), text.alias("text"),
              F.xxhash64(F.col(f"`{id_col}`"), F.lit("sample")).alias("at"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = cut(counts)
+    n_langs = counts.count()
+    wanted = min(per_lang, max(2, most // max(1, n_langs)))
     # of each language a share that holds about twice as many as are wanted
-    share = F.least(F.lit(1.0), F.lit(2.0 * per_lang + 50) / F.col("n"))
-    first = Window.partitionBy("lang").orderBy("at", "text")
+    share = F.least(F.lit(1.0), F.lit(2.0 * wanted + 50) / F.col("n"))
+    order = F.xxhash64("at", "text").alias("then")
+    first = Window.partitionBy("lang").orderBy("at", "then")
     sample = (
-        rows.where(F.char_length("text") <= TRAIN_CHARS)
-        .join(F.broadcast(counts), "lang")
+        rows.join(counts, "lang")
         .where(F.pmod("at", F.lit(1_000_000)) < share * 1_000_000)
+        .select("lang", "text", "at", order)
         .withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= per_lang)
-        .select("lang", "text", "place")
-        .collect()
+        .where(F.col("place") <= wanted)
     )
-    sample.sort(key=lambda r: (r["lang"], r["place"]))
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample])
+
+    def packed(texts: list[str]) -> dict[str, list]:
+        found = [presence(t) for t in texts]
+        return {"table": [None if t is None else np.packbits(t).tobytes() for t in found]}
+
+    tables = with_text_columns(sample, "text", packed, {"table": T.BinaryType()}, ["lang", "place"])
+    held = sorted(tables.where("table is not null").collect(), key=lambda r: (r["lang"], r["place"]))
+    return fit_tables([np.frombuffer(r["table"], np.uint8) for r in held], [r["lang"] for r in held])
 
 
 def identify(
@@ -198,7 +223,10 @@ def identify(
 
     Only the text is looked at. A text that is null or has no letter is
     ``und`` with score 0, as are all texts if the model learned no language.
-    ``score`` is the regression's value of the chosen language on 0 to 1.
+    ``score`` is the regression's value of the chosen language on 0 to 1; of
+    equal values the first language in the order of names is chosen. A text is
+    scored whole, however long, in parts of ``PART_CHARS``; repeated rows are scored
+    each; an empty table gives no rows.
     ``keep`` are the columns passed on (all by default, but for the new names).
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
