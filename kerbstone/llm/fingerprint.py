@@ -11,6 +11,8 @@ one bin of sixteen, which the likeness takes off.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ PROBES = 4
 #: partition, and at most: their number bounds what the driver sees.
 STRETCHES, MOST_STRETCHES = 4, 4096
 
-# Fixed value: what words are made of, after A-Z were lower-cased.
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: what words are made of, after A-Z were lower-cased: a-z, 0-9 and all beyond ASCII.
+WORDS = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 LOW = (1 << 56) - 1  # a hash without its bin; all ones mark an empty bin
 LEAST = -(1 << 63)
 
@@ -64,7 +66,8 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in df.columns if c != name]
 
     def stage(df: DataFrame, column: Column) -> DataFrame:
-        # an array that lambdas look into is a column of its own, so it is made once
+        # An array that lambdas look into is a column of its own and is named more than
+        # once where it is used: else the optimizer puts its making inside the lambda.
         return df.select(*kept, column.alias("_fp"))
 
     step = stage(df, F.regexp_extract_all(ascii_lower(value), F.lit(WORDS), F.lit(0)))
@@ -93,11 +96,12 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
 
     def nearest(i: Column) -> Column:
         far = F.array_min(F.transform("_full", lambda j: F.pmod((j - F.get(starts, i)) * F.get(inverse, i), F.lit(size))))
-        return F.get(own, F.pmod(F.get(starts, i) + far * F.get(strides, i), F.lit(size)))
+        there = F.pmod(F.get(starts, i) + far * F.get(strides, i), F.lit(size))
+        return F.when(F.size("_full") > 0, F.get(own, there))
 
     bits = F.lit((1 << BITS) - 1).cast("bigint")
     step = stage(step, F.transform("_fp", lambda h, i: F.xxhash64(F.coalesce(h, nearest(i)), i).bitwiseAND(bits)))
-    packed = F.transform(F.sequence(F.lit(0), F.lit(size // PACKED - 1)), lambda n: F.aggregate(
+    packed = F.transform(F.sequence(F.lit(0), F.floor(F.size("_fp") / PACKED).cast("int") - 1), lambda n: F.aggregate(
         F.slice("_fp", n * PACKED + 1, PACKED), F.lit(0).cast("bigint"),
         lambda all_, x: F.shiftleft(all_, BITS).bitwiseOR(x)))
     return step.select(*kept[:-2], packed.alias(name))
@@ -143,10 +147,10 @@ def _stretches(ids: DataFrame, number: int) -> tuple[Column, int]:
     return F.get(_array(first), at) + F.least(share, F.get(_array(parts), at) - 1), sum(parts)
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """``docs`` (``_id, _tie`` and more) with ``_next``: a struct of ``carried`` of the next row.
+def with_next(docs: DataFrame, prepared: Callable[[DataFrame], DataFrame], carried: list[str]) -> DataFrame:
+    """``prepared(docs)`` with ``_next``: a struct of ``carried`` of the next row.
 
-    Rows are in the order of ``_id`` and ``_tie``; after the last comes the first. They
+    ``docs`` has ``_id, _tie`` and more. Rows are in the order of ``_id`` and ``_tie``; after the last comes the first. They
     are shuffled once, by stretches of that order; only the first row of each
     stretch is sent to the end of the one before.
     """
@@ -162,14 +166,12 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     )
     links = [(firsts[i - 1]["_stretch"], f["_id"], f["_tie"]) for i, f in enumerate(firsts)]
     asked = docs.sparkSession.createDataFrame(links, "_before int, _id bigint, _tie bigint")
-    heads = cut(
-        docs.join(F.broadcast(asked), ["_id", "_tie"])
-        .select("_before", F.struct(*carried).alias("_head")).dropDuplicates(["_before"])
-    )
+    heads = cut(docs.join(F.broadcast(asked), ["_id", "_tie"]).dropDuplicates(["_before"]))
+    heads = prepared(heads).select("_before", F.struct(*carried).alias("_head"))
     order = Window.partitionBy("_stretch").orderBy("_id", "_tie")
-    ahead = placed.withColumn("_ahead", F.lead(F.struct(*carried)).over(order))
+    ahead = prepared(placed).withColumn("_ahead", F.lead(F.struct(*carried)).over(order))
     return ahead.join(heads, (F.col("_stretch") == F.col("_before")) & F.col("_ahead").isNull(), "left").select(
-        *docs.columns, F.coalesce("_ahead", "_head").alias("_next"))
+        *[c for c in ahead.columns if c not in ("_stretch", "_ahead")], F.coalesce("_ahead", "_head").alias("_next"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,7 +189,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     source = docs.select(
         F.col(f"`{id_col}`").alias("_key"), text.alias("_text"),
         F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LEAST)).alias("_id"), F.xxhash64(text).alias("_tie"))
-    found = with_next(with_fingerprint(source, "_text", "_print"), ["_text", "_print"])
+    found = with_next(source, lambda df: with_fingerprint(df, "_text", "_print"), ["_text", "_print"])
     n_chars = F.char_length("_text")
     taken = F.floor(n_chars / 4).cast("int")
     edited = found.select(
