@@ -142,23 +142,28 @@ def dedup_lines(
     of at least ``min_chars`` code points that are in at least ``min_docs``
     rows lose all their lines except in the row with the largest id that holds
     them (all rows that repeat that id). A null id is smaller than any other;
-    lines that only rows without id hold stay in all of them. A row may keep
-    no line: its text is then empty. ``keep`` are the columns passed on (all by
+    lines that only rows without id hold stay in all of them. Rows that repeat
+    an id count each. A row may keep no line: its text is then empty. A very
+    long text is split whole; what a task holds of the others is its own lines. ``keep`` are the columns passed on (all by
     default, but for those with one of the new names). An empty table gives no
     rows.
     """
     kept = [c for c in (docs.columns if keep is None else keep)
             if c not in ("n_lines", "n_dropped", "kept_text")]
-    source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
-                         F.col(f"`{text_col}`").alias("_text"))
+    number = F.col(f"`{id_col}`").cast("bigint")
+    # what rows with one id and text share: they lose the same lines
+    row = F.unhex(F.md5(F.concat(
+        F.coalesce(number.cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    ).cast("binary")))
+    source = docs.select(number.alias("id"), row.alias("_row"), F.col(f"`{text_col}`").alias("_text"))
 
     def keyed(texts: list[str]) -> dict[str, list]:
         return {"_keys": [list(dict.fromkeys(k for _, k in long_keys(t, min_chars))) for t in texts]}
 
     # The distinct long lines of each row as 128-bit keys: written once.
     long_lines = cut(
-        with_text_columns(source, "_text", keyed, {"_keys": T.ArrayType(T.BinaryType())}, ["id"])
-        .select("id", F.explode("_keys").alias("key"))
+        with_text_columns(source, "_text", keyed, {"_keys": T.ArrayType(T.BinaryType())}, ["id", "_row"])
+        .select("id", "_row", F.explode("_keys").alias("key"))
     )
     runs = LineRuns(docs.sparkSession)
     for part in _id_batches(long_lines, batches):
@@ -169,11 +174,11 @@ def dedup_lines(
     lost = (
         long_lines.join(cut(runs.frequent(min_docs)), "key")
         .where(~F.col("id").eqNullSafe(F.col("owner")))
-        .groupBy(F.col("id").alias("_id"))
+        .groupBy("_row")
         .agg(F.collect_set("key").alias("_lost"))
     )
-    marked = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, id_col, text_col])]).join(
-        lost, F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_id")), "left"
+    marked = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, text_col])], row.alias("_at")).join(
+        lost, F.col("_at") == F.col("_row"), "left"
     )
 
     def applied(texts: list[str], lost: list[list[bytes] | None]) -> dict[str, list]:

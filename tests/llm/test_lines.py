@@ -59,3 +59,26 @@ def test_runs_are_compacted_and_owned_by_the_first_batch(spark):
 def test_empty_table(spark):
     assert dedup_lines(documents(spark, []).limit(0)).count() == 0
     assert sha("") == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def test_rows_without_id_lose_their_own_lines_only(spark):
+    """Each distinct text has its own set of lost lines, however many rows have no id."""
+    lines = [f"line {i} of the boilerplate that goes around here" for i in range(30)]
+    rows = [(i, "\n".join(lines)) for i in range(4)] + [(9, "\n".join(lines))]
+    rows += [(None, f"{i}\n{lines[i]}\n{lines[(i * 7) % 30]}") for i in range(30)] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert whole(dedup_lines(frame, keep=["doc_id"])) == expected(rows)
+
+
+def test_query_equals_its_sql_with_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    from kerbstone.llm.oracle import OP2
+    from kerbstone.llm.queries import op2_line_dedup
+
+    rows = [(i % 3, f"{LONG}\nrow {i % 2}") for i in range(9)] + [(5, LONG), (6, LONG + " too\n" + LONG), (7, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = op2_line_dedup(spark, str(tmp_path))
+    assert whole(got) == sorted(con.sql(f"SELECT {', '.join(got.columns)} FROM ({OP2})").fetchall(), key=repr)
