@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from kerbstone.llm.batches import with_text_columns
 from kerbstone.plans.cut import cut
+from kerbstone.plans.order import running_totals
 
 #: Words of a window.
 WINDOW = 13
@@ -71,14 +72,15 @@ def item_windows(text: str | None, size: int) -> list[list[bytes]]:
     return [found[i:i + size] for i in range(max(1, len(found) - size + 1))]
 
 
-def file_windows(items: list[tuple], held: dict[bytes, int], size: int) -> dict:
-    """``{rarest word: [(its place, words of the window, {window: item ids})]}``."""
+def file_windows(items: list[tuple[list[str], str]], held: dict[bytes, int], size: int) -> dict:
+    """``{rarest word: [(its place, words of the window, {window: lists of item ids})]}``."""
     filed: dict[bytes, dict] = {}
-    for item_id, text in items:
+    for ids, text in items:
+        ids = tuple(ids)
         for window in item_windows(text, size):
             place = min(range(len(window)), key=lambda i: (held.get(window[i], 0), window[i]))
             under = filed.setdefault(window[place], {}).setdefault((place, len(window)), {})
-            under.setdefault(b" ".join(window), set()).add(item_id)
+            under.setdefault(b" ".join(window), set()).add(ids)
     return {w: [(p, n, t) for (p, n), t in sorted(x.items())] for w, x in filed.items()}
 
 
@@ -140,8 +142,8 @@ def decontaminate(
     ``items`` has the distinct ids of items with an occurring window, as
     strings in their order; ``contaminated`` is ``n_hit > 0`` and at least one
     word in twenty is hit. A null text has no words; a null item id is never
-    listed, though its windows hit. Repeated rows and items are looked at one by
-    one. With an empty benchmark nothing is hit; without documents there are no
+    listed, though its windows hit. Repeated documents are looked at one by one,
+    repeated items once; a very long text is read in parts. With an empty benchmark nothing is hit; without documents there are no
     rows. ``keep`` are the columns passed on (all by default, but for those
     with one of the new names).
     """
@@ -152,21 +154,34 @@ def decontaminate(
             F.col(f"`{item_id}`").cast("string").alias("id"), F.col(f"`{item_text}`").alias("text")
         )
         .where("text is not null")
-        .withColumn("_bytes", F.octet_length("text"))
+        .distinct()
+        .withColumns({"_text": F.sha2("text", 256), "_bytes": F.octet_length(F.coalesce("id", F.lit(""))) + 8})
     )
-    total = items.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // block_bytes))
-    dealt = items.withColumn("_block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    # A text counts for its bytes once and for each of its ids, so a text with very
+    # many ids is spread over blocks and any block is bounded.
+    sized = items.groupBy("_text").agg(F.min(F.struct(F.coalesce("id", F.lit("")), "id")).alias("_f")).select("_text", "_f.id")
+    sized = items.join(sized.select(F.col("_text").alias("_t"), F.col("id").alias("_i"), F.lit(1).alias("_first")),
+                       (F.col("_text") == F.col("_t")) & F.col("id").eqNullSafe(F.col("_i")), "left")
+    sized = cut(sized.select("id", "text", "_text", F.when(F.col("_first") == 1, F.col("_bytes") + F.octet_length("text"))
+                             .otherwise(F.col("_bytes")).alias("_bytes")))
+    total = sized.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]
+    dealt = sized.withColumn("_block", F.lit(0))
+    if total > block_bytes:
+        before = running_totals(sized, [F.col("_text"), F.col("id").asc_nulls_first()], {"_before": "_bytes"})
+        dealt = cut(before.withColumn("_block", F.floor(F.col("_before") / block_bytes)))
+    blocks = [r["_block"] for r in dealt.select("_block").distinct().orderBy("_block").collect()] or [0]
 
     result = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, text_col])])
     result = result.withColumns({
         "_spans": F.array().cast("array<bigint>"), "items": F.array().cast("array<string>"),
     })
-    for block in range(blocks):
-        rows = [(r["id"], r["text"]) for r in dealt.where(F.col("_block") == block).collect()]
+    for block in blocks:
+        of_text = dealt.where(F.col("_block") == block).groupBy("_text").agg(
+            F.min("text").alias("text"), F.collect_list("id").alias("ids"))
+        rows = [(r["ids"], r["text"]) for r in of_text.collect()]
         held = _document_counts(docs, text_col, {w for _, t in rows for w in words(t)})
         result = _with_hits(result, text_col, file_windows(rows, held, window), window, kept)
-        if block + 1 < blocks:
+        if block != blocks[-1]:
             result = cut(result)
     return result.select(
         *[F.col(f"`{c}`") for c in kept],
@@ -196,7 +211,7 @@ def _with_hits(
             out["n_words"].append(n_words)
             out["n_hit"].append(len(hit))
             out["_spans"].append([x for span in zip(starts, stops) for x in span])
-            out["items"].append(sorted({*ids, *(i for i in found if i is not None)}))
+            out["items"].append(sorted({*ids, *(i for of in found for i in of)}))
         return out
 
     types = {

@@ -49,9 +49,9 @@ def test_given_tables(spark):
 def test_windows_across_the_parts_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(D, "PART_BYTES", 50)
     text = "pad " * 30 + ITEM + " pad" * 30 + "z" * 130 + " " + ITEM
-    filed = D.file_windows([("1", ITEM)], {}, 13)
+    filed = D.file_windows([(["1"], ITEM)], {}, 13)
     found = D.find_windows(text, filed, 13)
-    assert (found[0], len(found[1]), found[2]) == (30 + 14 + 29 + 1 + 14 + 0, 28, {"1"})
+    assert (found[0], len(found[1]), found[2]) == (30 + 14 + 29 + 1 + 14 + 0, 28, {("1",)})
 
 
 def test_empty_tables(spark):
@@ -59,3 +59,14 @@ def test_empty_tables(spark):
     assert D.decontaminate(docs.limit(0), bench).count() == 0
     row = D.decontaminate(docs, bench.limit(0)).first()
     assert (row["n_words"], row["n_hit"], row["items"], row["contaminated"]) == (2, 0, [], False)
+
+
+def test_many_equal_items_are_sent_once_and_many_ids_of_one_text_in_blocks(spark, monkeypatch):
+    items = [(7, ITEM)] * 500 + [(i, "ünï cödé") for i in range(200)]
+    rows = [(0, ITEM), (1, "a ünï cödé b"), (2, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sizes, filed = [], D.file_windows
+    monkeypatch.setattr(D, "file_windows", lambda rows, *a: sizes.append(sum(len(i) for i, _ in rows)) or filed(rows, *a))
+    assert whole(D.decontaminate(docs, bench, block_bytes=600, keep=["doc_id"])) == expected(rows, items)
+    assert len(sizes) > 2 and max(sizes) < 70 and sum(sizes) == 201
