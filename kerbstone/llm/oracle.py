@@ -53,21 +53,21 @@ FROM sums JOIN walk USING (conv_id, i) GROUP BY conv_id
 
 OP2 = f"""
 WITH lines AS (
-  SELECT doc_id, i, list_extract(parts, i) AS line
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+  SELECT d, doc_id, i, list_extract(parts, i) AS line
+  FROM (SELECT row_number() OVER () AS d, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
        LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i)
 ), keyed AS (
   SELECT *, {_LOWER.format(f"trim(line, {_WHITE})")} AS key FROM lines
 ), frequent AS (
   SELECT key, max(doc_id) AS owner FROM keyed WHERE length(key) >= 40
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+  GROUP BY key HAVING count(DISTINCT d) >= 5
 ), marked AS (
-  SELECT k.doc_id, i, line, owner IS NOT NULL AND owner <> k.doc_id AS gone
+  SELECT d, k.doc_id, i, line, owner IS NOT NULL AND owner <> k.doc_id AS gone
   FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 )
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY d
 """
 
 OP6 = f"""

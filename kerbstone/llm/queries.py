@@ -119,7 +119,8 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{scratch_root(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archives(_table(spark, folder, "pages"), archives)
-    return warc.page_columns(warc.assemble(warc.read_archives(spark, archives)))
+    fields = ["type", "http_headers", "payload_bytes", "payload_digest"]
+    return warc.page_columns(warc.assemble(warc.read_archives(spark, archives), fields))
 
 
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

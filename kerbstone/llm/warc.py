@@ -243,24 +243,41 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: ``capture_id, response, request, metadata``.
+def assemble(records: DataFrame, fields: list[str] = RECORD.names) -> DataFrame:
+    """One nested row per capture: ``capture_id, response, request, metadata, others``.
 
     A response or revisit leads a capture; requests and metadata join it by
-    the record they are concurrent to. A missing one is null. What names no
-    leading record belongs to no capture.
+    the record they are concurrent to. All records meet in one shuffle by that
+    name, each read once. A missing one is null; of several of a kind the one
+    with the least record id is taken, and the rest, repeated records included,
+    are in ``others``, by type and id. What names no leading record belongs to no
+    capture. ``fields`` are those that the records keep.
     """
-    def of(kind: str) -> DataFrame:
-        return records.where(F.col("type") == kind).select(
-            F.col("concurrent_to").alias(f"_{kind}"), F.struct(*RECORD.names).alias(kind)
-        )
-
-    leading = records.where(F.col("type").isin("response", "revisit")).select(
-        F.col("record_id").alias("capture_id"), F.struct(*RECORD.names).alias("response")
+    leads = F.col("type").isin("response", "revisit")
+    one = F.struct(
+        F.when(leads, 0).when(F.col("type") == "request", 1).when(F.col("type") == "metadata", 2).otherwise(3).alias("kind"),
+        F.col("record_id").alias("id"), F.struct(*fields).alias("r"))
+    met = (
+        records.select(F.when(leads, F.col("record_id")).otherwise(F.col("concurrent_to")).alias("capture_id"), one.alias("one"))
+        .where("capture_id is not null")
+        .groupBy("capture_id")
+        .agg(F.array_sort(
+            F.collect_list("one"),
+            lambda a, b: F.when(a["kind"] < b["kind"], -1).when(a["kind"] > b["kind"], 1)
+            .when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0)).alias("all"))
     )
-    for kind in ("request", "metadata"):
-        leading = leading.join(of(kind), F.col("capture_id") == F.col(f"_{kind}"), "left").drop(f"_{kind}")
-    return leading
+
+    def place(kind: int):
+        return F.array_position(F.col("all")["kind"], kind)
+
+    def first(kind: int):
+        return F.get("all", place(kind).cast("int") - 1)["r"]
+
+    taken = F.array(*[place(k) for k in range(3)])
+    others = F.filter(
+        F.transform("all", lambda x, i: F.when(~F.array_contains(taken, (i + 1).cast("bigint")), x["r"])), lambda x: x.isNotNull())
+    return met.where(place(0) > 0).select(
+        "capture_id", first(0).alias("response"), first(1).alias("request"), first(2).alias("metadata"), others.alias("others"))
 
 
 def page_columns(captures: DataFrame) -> DataFrame:

@@ -75,3 +75,22 @@ def test_reader_takes_other_archives_and_reports_cut_ones():
 
 def test_empty_table(spark):
     assert captured(spark, []).count() == 0
+
+
+def test_one_row_per_capture_whatever_names_it(spark):
+    fields = warc.RECORD.names
+
+    def row(record_id, kind, to=None):
+        return tuple({"record_id": record_id, "type": kind, "concurrent_to": to, "payload_bytes": 1}.get(f) for f in fields)
+
+    records = spark.createDataFrame([
+        row("a", "response"), row("q2", "request", "a"), row("q1", "request", "a"), row("m", "metadata", "a"),
+        row("m", "metadata", "a"), row("c", "conversion", "a"), row("a", "response"),
+        row("b", "revisit"), row("q3", "request", "nowhere"), row("q4", "request"), row(None, "response"),
+    ], warc.RECORD)
+    got = {r["capture_id"]: r for r in warc.assemble(records).collect()}
+    assert got.keys() == {"a", "b"}
+    a, b = got["a"], got["b"]
+    assert (a["response"]["record_id"], a["request"]["record_id"], a["metadata"]["record_id"]) == ("a", "q1", "m")
+    assert [o["record_id"] for o in a["others"]] == ["a", "q2", "m", "c"]
+    assert (b["response"]["type"], b["request"], b["metadata"], b["others"]) == ("revisit", None, None, [])
