@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from kerbstone import constants as C
@@ -43,23 +43,65 @@ def missing_classes_by(df: DataFrame, group: str) -> DataFrame:
     return present.select(group, F.inline(classes)).where(F.col("n") == 0).drop("n")
 
 
-def validate(df: DataFrame) -> None:
-    """Raise unless ``df`` has the columns, rows, labels and coordinates it must have."""
+def tallies(df: DataFrame) -> DataFrame:
+    """One row with all that the checks need, from one pass over ``df``.
+
+    ``n_rows, n_labels_bad, bad_label, n_coordinates_bad, n_dates_bad,
+    n_weights_bad``, and ``n_<class>`` of each class. Labels outside the
+    vocabulary are counted as rows; one of them is shown.
+    """
+    severity = F.col("severity")
+    bad = severity.isNotNull() & ~severity.isin(C.SEVERITIES)
+    return df.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(bad).alias("n_labels_bad"),
+        F.min(F.when(bad, severity)).alias("bad_label"),
+        F.count_if(~in_range(F.col("latitude"), F.col("longitude"))).alias("n_coordinates_bad"),
+        F.count_if(F.col("date").isNull()).alias("n_dates_bad"),
+        F.count_if(weight_of(severity, C.RISK_WEIGHTS).isNull()).alias("n_weights_bad"),
+        *[F.count_if(severity == s).alias(f"n_{s.lower()}") for s in C.SEVERITIES],
+    )
+
+
+def require_columns(df: DataFrame) -> None:
     absent = sorted(set(C.RECORD_COLUMNS) - set(df.columns))
     if absent:
         raise DataValidationError(f"columns that every record needs are absent: {absent}")
-    if df.isEmpty():
+
+
+def require_tallies(counts: Row, dates: bool = True, classes: bool = True) -> None:
+    """Raise for the first fault that :func:`tallies` has counted."""
+    if not counts["n_rows"]:
         raise DataValidationError("there are no rows to check")
-    # A table of arbitrary text could hold any number of labels: the message
-    # has their number and one of them, bad_labels() has them all.
-    labels = bad_labels(df).agg(F.count("*").alias("n"), F.min("severity").alias("one")).first()
-    if labels["n"]:
+    if counts["n_labels_bad"]:
         raise DataValidationError(
-            f"severity has {labels['n']} labels outside its vocabulary, such as {labels['one']!r}"
+            f"severity has {counts['n_labels_bad']} rows with labels outside its vocabulary, such as {counts['bad_label']!r}"
         )
-    n_bad = bad_coordinates(df).first()["n_bad"]
-    if n_bad:
-        raise DataValidationError(f"{n_bad} rows lie outside the range of latitudes and longitudes")
+    if counts["n_coordinates_bad"]:
+        raise DataValidationError(f"{counts['n_coordinates_bad']} rows lie outside the range of latitudes and longitudes")
+    gone = sorted(s for s in C.SEVERITIES if not counts[f"n_{s.lower()}"])
+    if classes and gone:
+        raise DataValidationError(f"no record is {' or '.join(gone)}")
+    if dates and counts["n_dates_bad"]:
+        raise DataValidationError(f"{counts['n_dates_bad']} rows have no readable date")
+
+
+def quarantined(df: DataFrame) -> DataFrame:
+    """The rows that a check objects to, with ``reasons``."""
+    severity = F.col("severity")
+    faults = {
+        "label": severity.isNotNull() & ~severity.isin(C.SEVERITIES),
+        "coordinates": ~in_range(F.col("latitude"), F.col("longitude")),
+        "date": F.col("date").isNull(),
+    }
+    reasons = F.array_compact(F.array(*[F.when(fault, F.lit(name)) for name, fault in faults.items()]))
+    return df.withColumn("reasons", reasons).where(F.size("reasons") > 0)
+
+
+def validate(df: DataFrame) -> None:
+    """Raise unless ``df`` has the columns, rows, labels and coordinates it must have."""
+    require_columns(df)
+    require_tallies(tallies(df).first(), dates=False, classes=False)
 
 
 def require_all_classes(df: DataFrame) -> None:

@@ -16,7 +16,7 @@ from kerbstone.operators.explain.attribution import background_sample
 from kerbstone.operators.ml import risk_model, training
 from kerbstone.operators.ml.classifiers import CANDIDATES, Presets
 from kerbstone.operators.spatial import dbscan, kmeans
-from kerbstone.operators.spatial.silhouette import silhouette
+from kerbstone.operators.spatial.silhouette import silhouette, whole_silhouette
 from kerbstone.plans.cut import cut
 from kerbstone.session import ship
 from kerbstone.sources import artifacts, raw
@@ -45,17 +45,21 @@ def _spots(spark: SparkSession, records: DataFrame, out: str) -> DataFrame:
     counts = dbscan.cluster_counts(artifacts.read_table(spark, f"{out}/clusters")).first()
     zone_score = silhouette(placed.where(F.col("zone") >= 0), "latitude", "longitude", "zone").first()[0]
     cluster_score = silhouette(members, "phi", "lam", "cluster").first()[0]
+    zone_score_all = whole_silhouette(placed.where(F.col("zone") >= 0), "latitude", "longitude", "zone").first()[0]
+    cluster_score_all = whole_silhouette(members, "phi", "lam", "cluster").first()[0]
     return spark.createDataFrame(
         [
             (
                 C.KMEANS_K, zone_score, counts["n_clusters"], counts["n_noise"],
                 counts["n_members"] + counts["n_noise"], counts["n_not_clustered"],
-                cluster_score, stored.count(),
+                cluster_score, stored.count(), zone_score_all, cluster_score_all,
             )
         ],
         "kmeans_k int, kmeans_silhouette double, dbscan_n_clusters bigint, "
         "dbscan_n_noise bigint, dbscan_n_clustered bigint, dbscan_n_not_clustered bigint, "
-        "dbscan_silhouette double, hotspot_records_ranked bigint",
+        "dbscan_silhouette double, hotspot_records_ranked bigint, "
+        # of every record, by squared distances; the other two are of a fixed sample
+        "kmeans_silhouette_all double, dbscan_silhouette_all double",
     )
 
 
@@ -77,9 +81,12 @@ def run(
     ship(spark)
     artifacts.write_table(decode.prepare(raw_records, codes), f"{out}/prepared")
     prepared = artifacts.read_table(spark, f"{out}/prepared")
-    checks.validate(prepared)
-    checks.require_all_classes(prepared)
-    checks.require_dates(prepared)
+    checks.require_columns(prepared)
+    # one pass for all checks; what they object to is kept beside the results
+    counts = checks.tallies(prepared).first()
+    if counts["n_labels_bad"] or counts["n_coordinates_bad"] or counts["n_dates_bad"]:
+        artifacts.write_table(checks.quarantined(prepared), f"{out}/quarantine")
+    checks.require_tallies(counts)
     artifacts.write_table(profile.profile(prepared), f"{out}/profile")
 
     artifacts.write_records(clean.clean(prepared), f"{out}/cleaned")

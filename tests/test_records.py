@@ -231,3 +231,28 @@ def test_district_column(spark):
     assert profile.district_column(["x"]) is None
     df = spark.createDataFrame([(" b ",), ("NaN",), ("a",), ("",), (None,), ("UNKNOWN",)], "City string")
     assert [r[0] for r in profile.districts(df).collect()] == ["a", "b"]
+
+
+def test_one_pass_of_tallies_and_the_quarantine(spark, small):
+    from kerbstone.operators import checks
+    from kerbstone.queries import prepared
+
+    rows = prepared(spark, small)
+    good = checks.tallies(rows).first()
+    assert good["n_rows"] == rows.count()
+    for s in ("Minor", "Serious", "Fatal"):
+        assert good[f"n_{s.lower()}"] == rows.where(f"severity = '{s}'").count()
+    n = rows.count()
+    bad = rows.limit(5).withColumn("severity", F.lit("Odd")).union(
+        rows.limit(3).withColumn("latitude", F.lit(200.0)).withColumn("date", F.lit(None).cast("date")))
+    both = rows.union(bad)
+    counts = checks.tallies(both).first()
+    assert (counts["n_rows"], counts["n_labels_bad"], counts["bad_label"]) == (n + 8, 5, "Odd")
+    assert counts["n_coordinates_bad"] == good["n_coordinates_bad"] + 3
+    assert counts["n_dates_bad"] >= 3
+    reasons = [tuple(r["reasons"]) for r in checks.quarantined(bad).collect()]
+    assert sum("label" in r for r in reasons) == 5 and reasons.count(("coordinates", "date")) == 3
+    with pytest.raises(checks.DataValidationError, match="Odd"):
+        checks.require_tallies(counts)
+    with pytest.raises(checks.DataValidationError, match="no record is Fatal"):
+        checks.require_tallies(checks.tallies(rows.where("severity <> 'Fatal'")).first(), dates=False)

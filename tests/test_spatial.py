@@ -156,3 +156,22 @@ def test_whole_silhouette_equals_the_definition(spark):
     assert whole_silhouette(df, "x", "y", "k").first()[0] == pytest.approx(np.mean(values))
     assert whole_silhouette(df.where("k = 'zone 0'"), "x", "y", "k").first()[0] is None
     assert whole_silhouette(df.limit(0), "x", "y", "k").first()[0] is None
+
+
+def test_all_starts_in_one_pass_are_no_worse_than_separate_fits(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(5)
+    middle = rng.uniform(-3, 3, (9, 2))
+    xy = np.concatenate([rng.normal(m, 0.2, (60, 2)) for m in middle] + [np.tile(middle[0], (200, 1))])
+    df = spark.createDataFrame([(str(i), 50 + float(a), float(b)) for i, (a, b) in enumerate(xy)],
+                               "accident_id string, latitude double, longitude double")
+    zones = kmeans.fit_kmeans(df, k=9, starts=10)
+    gaps = ((np.column_stack([50 + xy[:, 0], xy[:, 1]])[:, None] - zones.centres) ** 2).sum(2)
+    assert zones.cost == pytest.approx(gaps.min(1).sum())
+    places = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="p").transform(df)
+    separate = min(KMeans(featuresCol="p", k=9, seed=s, maxIter=300).fit(places).summary.trainingCost for s in range(4))
+    assert zones.cost <= separate * 1.001
+    again = kmeans.fit_kmeans(df.repartition(5), k=9, starts=10)
+    assert np.allclose(again.centres, zones.centres, atol=1e-9)
