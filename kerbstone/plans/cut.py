@@ -11,12 +11,14 @@ def scratch_root(spark: SparkSession) -> str:
     """This application's folder in the shared one named by ``spark.checkpoint.dir``.
 
     A session whose checkpoint folder was set on the context keeps that one. Where
-    none is named, as in local tests, the warehouse folder is used, which a
-    session always has and which its executors share.
+    none is named and all runs in this process, as in tests, the warehouse folder
+    is used; a cluster must name one, as its executors share no other.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = spark.sparkContext.getCheckpointDir()
+    if root is None and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if root is None:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     # one folder per application, so that it can be removed after a run
