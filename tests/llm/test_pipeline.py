@@ -58,6 +58,23 @@ def test_one_row_of_each_group_stays(spark):
     assert len(kept) == 5
 
 
+def test_clashing_columns_pass_and_missing_languages_are_filled(spark, small):
+    docs = documents(spark, ["the old house by the sea", "das alte haus am meer", None, "the sea and the house"] * 4)
+    lang = F.when(F.col("doc_id") % 4 == 1, "de").when(F.col("doc_id") < 12, "en")
+    docs = docs.withColumns({"lang": lang, "lang_pred": F.lit("a"), "score": F.lit("b"), "n_hit": F.lit("c"), "items": F.lit("d")})
+    docs = docs.withColumns({"n_lines": F.lit("e"), "kept_text": F.lit("f"), "_lettered": F.lit("g")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert [r[c] for c in docs.columns[-7:]] == list("abcdefg"), name
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.known_language(spark, docs, small).collect()}
+    assert got.keys() == {i for i in range(16) if i % 4 != 2}
+    assert got[13] == "de" and got[12] == got[15] == "en"
+    bare = corpus_pipeline.encoded(spark, docs.drop("lang", "source"), small)
+    assert bare.columns[0] == "doc_id" and bare.count() == 16
+
+
 def test_texts_without_letters_go_without_labels_too(spark):
     docs = documents(spark, ["some words", None, "", "123 --- 45", "\u00e9"]).withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.known_language(spark, docs, "")
