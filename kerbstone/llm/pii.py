@@ -1,8 +1,8 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds what personal data must contain: an
-at-sign, a scheme, a plus before a digit, digits beside digits or points, and
-words that announce an account or a secret. From an anchor a small parser
+at-sign, a scheme, a plus before a digit, digits beside digits or points, how
+keys and account numbers begin, and words that announce an account or a secret. From an anchor a small parser
 walks to the left and to the right as far as the entity reaches, and checks it.
 Text without an anchor costs no more than the pass.
 """
@@ -10,6 +10,7 @@ Text without an anchor costs no more than the pass.
 from __future__ import annotations
 
 import functools
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -34,6 +35,21 @@ IBAN = re.compile(r"[\x20:#-]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![
 # Words that announce a secret or an account number.
 CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "api key", "access_key", "private_key")
 IBAN_CUES = ("iban",)
+# How keys begin, and all that a whole one is.
+KEYS = {
+    "AKIA": r"AKIA[0-9A-Z]{16}", "ASIA": r"ASIA[0-9A-Z]{16}", "AIza": r"AIza[0-9A-Za-z_-]{35}",
+    "ghp_": r"ghp_[0-9A-Za-z]{36,}", "gho_": r"gho_[0-9A-Za-z]{36,}", "ghs_": r"ghs_[0-9A-Za-z]{36,}",
+    "github_pat_": r"github_pat_[0-9A-Za-z_]{22,}", "glpat-": r"glpat-[0-9A-Za-z_-]{20,}",
+    "xoxb-": r"xoxb-[0-9A-Za-z-]{20,}", "xoxp-": r"xoxp-[0-9A-Za-z-]{20,}", "sk_live_": r"sk_live_[0-9A-Za-z]{16,}",
+    "sk-": r"sk-[0-9A-Za-z_-]{20,}", "eyJ": r"eyJ[0-9A-Za-z_-]{8,}\.eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]+",
+}
+KEY_RIGHT = {k: re.compile(p + r"(?![0-9A-Za-z])") for k, p in KEYS.items()}
+PEM, PEM_HEAD = "-----BEGIN ", re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----")
+# The countries whose account numbers begin with two letters and a check.
+COUNTRIES = (
+    "AD AE AL AT AZ BA BE BG BH BR BY CH CR CY CZ DE DK DO EE EG ES FI FO FR GB GE GI GL GR GT HR HU IE IL IQ IS IT "
+    "JO KW KZ LB LC LI LT LU LV MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SC SE SI SK SM ST SV TL TN TR UA VA VG XK"
+).split()
 
 
 @functools.cache
@@ -54,6 +70,12 @@ def automaton():
         for word in words:
             for shown in {word, word.upper(), word.title(), word.capitalize()}:
                 found.add_word(shown, (kind, len(shown)))
+    for word in KEYS:
+        found.add_word(word, ("key", len(word)))
+    found.add_word(PEM, ("pem", len(PEM)))
+    for code in COUNTRIES:
+        for digit in DIGITS:
+            found.add_word(f"{code}{digit}", ("bare", 3))
     found.make_automaton()
     return found
 
@@ -108,12 +130,40 @@ def chain_start(text: str, at: int, joints: str, least: int) -> int:
     return at
 
 
+def varied(value: str) -> bool:
+    """Whether a key's characters are as mixed as drawn ones: two bits each, digits and letters among them."""
+    n = len(value)
+    bits = -sum(c / n * math.log2(c / n) for c in map(value.count, set(value)))
+    return bits >= 2 and any(c in DIGITS for c in value) and any(c.isalpha() for c in value)
+
+
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """All spans of a text as ``kind, start, end``, by start and then kind."""
     spans = []
     done = dict.fromkeys(("email", "ip", "card", "phone", "url", "account", "iban"), 0)
     for last, (kind, length) in automaton().iter(text):
         at = last - length + 1
+        if kind in ("key", "pem", "bare"):
+            of = "iban" if kind == "bare" else "account"
+            if at < done[of] or (at > 0 and (text[at - 1].isalnum() or text[at - 1] == "_")):
+                continue
+            if kind == "key":
+                prefix = text[at:last + 1]
+                got = KEY_RIGHT[prefix].match(text, at)
+                end = got.end() if got and varied(text[last + 1:got.end()]) else 0
+            elif kind == "pem":
+                got = PEM_HEAD.match(text, at)
+                tail = f"-----END {got[1]}-----" if got else ""
+                # without its end, the line that begins it
+                to = text.find(tail, got.end()) if got else -1
+                end = to + len(tail) if to >= 0 else got.end() if got else 0
+            else:
+                got = IBAN.match(text, at)
+                end = got.end(1) if got and iban_holds(got[1].replace(" ", "")) else 0
+            if end:
+                spans.append(("account", at, end))
+                done[of] = end
+            continue
         if at < done[kind]:
             continue
         if kind == "email":
@@ -170,9 +220,13 @@ def find_personal_data(
     Places count code points, the end is exclusive. Kinds are ``email``,
     ``ip``, ``card`` and ``phone`` as their patterns say, leftmost and without
     overlap inside a kind; ``url`` is the part of an address up to its host when
-    it carries credentials, ``account`` an account number that passes its check
-    or the value after a word such as *password*. Spans of different kinds may
-    overlap. A null or empty text has none. ``keep`` are the columns passed on
+    it carries credentials, ``account`` an account number that passes its check,
+    a key that begins as keys of some services do and is mixed enough, a signed
+    token, a private key from its first to its last line, or the value after a
+    word such as *password*. Spans of different kinds may overlap; of equal
+    starts the earlier kind comes first. A null or empty text has none; a very
+    long text is read whole; repeated rows are read each; an empty table gives
+    no rows. ``keep`` are the columns passed on
     (all by default, but for one named ``pii``).
     """
 
