@@ -396,6 +396,16 @@ def q_silhouette_all(spark, folder):
     )
 
 
+@query
+def q_silhouette_bounded(spark, folder):
+    """Euclidean silhouette of every record's zone, with the bound on its error."""
+    rows = _located(spark, folder)
+    zones = kmeans.nearest_centroid(rows, _district_centres(rows))
+    return _rounded(
+        silhouettes.bounded_silhouette(zones, "latitude", "longitude", "cluster"), ["silhouette", "bound"]
+    )
+
+
 @query
 def q_kde_grid(spark, folder):
     grid = kde.density_grid(_located(spark, folder))

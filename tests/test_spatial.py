@@ -175,3 +175,27 @@ def test_all_starts_in_one_pass_are_no_worse_than_separate_fits(spark):
     assert zones.cost <= separate * 1.001
     again = kmeans.fit_kmeans(df.repartition(5), k=9, starts=10)
     assert np.allclose(again.centres, zones.centres, atol=1e-9)
+
+
+def test_silhouette_of_every_record_is_within_its_bound(spark):
+    from kerbstone.operators.spatial.silhouette import bounded_silhouette
+
+    rng = np.random.default_rng(6)
+    xy = np.concatenate([rng.normal(c, s, (90, 2)) for c, s in ((0, 1), (4, 0.5), (9, 2))] + [[[50.0, 50.0]]] + [[[1.0, 1.0]]] * 20)
+    label = np.array([0] * 90 + [1] * 90 + [2] * 90 + [3] + [0] * 20)
+    df = spark.createDataFrame([(float(a), float(b), int(k)) for (a, b), k in zip(xy, label)], "x double, y double, k int")
+    gap = np.sqrt(((xy[:, None] - xy) ** 2).sum(2))
+    want = []
+    for i, k in enumerate(label):
+        others = [gap[i, label == c].mean() for c in set(label) if c != k]
+        a = gap[i, label == k].sum() / max(1, (label == k).sum() - 1)
+        want.append(0.0 if (label == k).sum() == 1 else (min(others) - a) / max(a, min(others)))
+    before = 2.0
+    for cells in (16, 400, 6400):
+        row = bounded_silhouette(df, "x", "y", "k", cells).first()
+        assert abs(row["silhouette"] - np.mean(want)) <= row["bound"] <= before
+        before = row["bound"]
+    assert row["bound"] < 0.03 and abs(row["silhouette"] - np.mean(want)) < 0.005
+    few = df.where("k = 1")
+    assert bounded_silhouette(few, "x", "y", "k").first()["silhouette"] is None
+    assert bounded_silhouette(df.limit(0), "x", "y", "k").first()["silhouette"] is None
