@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbstone import constants as C
@@ -17,6 +17,7 @@ from kerbstone.session import ship
 
 INVALID = -1
 MOST_CENTROIDS = 1_000
+WRITTEN_OUT = 64
 #: A start has settled when none of its centres moves farther, in degrees.
 TOLERANCE = 1e-4
 MOST_ROUNDS = 300
@@ -173,25 +174,13 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame) -> DataFrame:
     held = centroids.select("cluster", "centre_lat", "centre_lon").limit(MOST_CENTROIDS + 1).collect()
     if len(held) > MOST_CENTROIDS:
         raise ValueError("too many centroids for a scan per row")
-    centres = F.array(
-        *[
-            F.struct(
-                F.lit(r["cluster"]).alias("cluster"),
-                F.lit(r["centre_lat"]).alias("centre_lat"),
-                F.lit(r["centre_lon"]).alias("centre_lon"),
-            )
-            for r in held
-        ]
-    )
     lat, lon = F.col("latitude"), F.col("longitude")
-    ranked = F.transform(
-        centres,
-        lambda c: F.struct(
-            (
-                (lat - c["centre_lat"]) * (lat - c["centre_lat"])
-                + (lon - c["centre_lon"]) * (lon - c["centre_lon"])
-            ).alias("d"),
-            c["cluster"].alias("cluster"),
-        ),
-    )
-    return points.withColumn("cluster", F.array_min(ranked)["cluster"])
+
+    def ranked(c) -> Column:
+        d_lat, d_lon = lat - c["centre_lat"], lon - c["centre_lon"]
+        return F.struct((d_lat * d_lat + d_lon * d_lon).alias("d"), c["cluster"].alias("cluster"))
+
+    centres = [F.struct(*[F.lit(r[c]).alias(c) for c in ("cluster", "centre_lat", "centre_lon")]) for r in held]
+    # few are written out, as a lambda is not compiled
+    distances = F.array(*map(ranked, centres)) if len(held) <= WRITTEN_OUT else F.transform(F.array(*centres), ranked)
+    return points.withColumn("cluster", F.array_min(distances)["cluster"])

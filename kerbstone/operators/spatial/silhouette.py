@@ -80,16 +80,17 @@ def silhouette(
 def whole_silhouette(labelled: DataFrame, x: str, y: str, label: str) -> DataFrame:
     """One row: ``silhouette`` of all records by squared distances.
 
-    Mean squared distances follow from each label's count and sums, so two
-    passes over the records do and no sample is taken. Rows without a place or label do
-    not count. Null unless there are at least two labels. One sum for each label
+    Mean squared distances follow from each label's count and sums, so a few
+    passes over the places and labels, which are written first, do and no sample is taken. Rows
+    without a place or label do not count. Null unless there are at least two labels. One sum for each label
     goes to every task: this is for labels that are far fewer than records.
     """
     spark = labelled.sparkSession
-    rows = labelled.select(
+    # written before the filter, which would work out the labels once more
+    rows = cut(labelled.select(
         F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
         F.col(label).cast("string").alias("label"),
-    ).dropna()
+    )).dropna()
     ends = rows.agg(F.min("label").alias("least"), F.max("label").alias("most")).first()
     if ends["least"] == ends["most"]:
         return spark.createDataFrame([(None,)], "silhouette double")
