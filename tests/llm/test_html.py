@@ -190,3 +190,45 @@ def test_slots_of_the_template_are_counted(spark):
     got = {r["page_id"]: r["main_slots"] for r in html.extract(frame).collect()}
     # without a template the page is one slot; with it each element of the frame that holds text
     assert got.pop(0) == 1 and set(got.values()) == {8}
+
+
+def test_tokens_without_a_place_in_their_class_are_no_template(spark):
+    import itertools
+
+    rows = ["<p><b>Alpha</b></p>", "<p><i>Beta</i></p>", "<p><u>Gamma</u></p>"]
+    orders = list(itertools.permutations(rows))
+    page = "<body><div><h2>Our site</h2></div>{}<h1>Story {}</h1><div><span>Imprint</span></div></body>"
+    told = [f"Story {i}" for i in range(12)]
+    # always in one order they are the template's, as are the frame's texts
+    same = texts(spark, [(f"https://r.org/{i}", page.format("".join(rows), i)) for i in range(12)])
+    assert same == told
+    # in any order they are on every page, but have no place: each is first, second or last on a third of the pages
+    mixed = texts(spark, [(f"https://s.org/{i}", page.format("".join(orders[i % 6]), i)) for i in range(12)])
+    words = {r: r.split(">")[2].split("<")[0] for r in rows}
+    assert mixed == ["\n".join([*(words[r] for r in orders[i % 6]), t]) for i, t in enumerate(told)]
+    # a class with its own pages nests between the frame's tokens: now before, now after them it is none
+    note = "<p><em>A note</em></p>"
+    parts = ["<div><h2>Our site</h2></div>", "<h1>Story {}</h1>", "<div><span>Imprint</span></div>", "<div><s>End</s></div>"]
+
+    def noted(i, at):
+        return "".join([*parts[:at], note if i % 4 else "", *parts[at:]]).format(i)
+
+    fixed = texts(spark, [(f"https://t.org/{i}", noted(i, 1)) for i in range(16)])
+    assert fixed == [f"Story {i}" for i in range(16)]
+    moved = texts(spark, [(f"https://u.org/{i}", noted(i, (0, 1, 3, 4)[i // 4])) for i in range(16)])
+    assert sum("A note" in t for t in moved) == 12 and all(f"Story {i}" in t for i, t in enumerate(moved))
+
+
+def test_places_by_hand():
+    classes = [[1, 2, 3], [7, 8], [9]]
+    at = lambda before, rank: (before << 32) + rank
+    assert html.places([1, 7, 4, 2, 8, 3, 9], classes) == {
+        1: at(0, 0), 2: at(0, 1), 3: at(0, 2), 7: at(1, 0), 8: at(1, 1), 9: at(3, 0)}
+    assert html.places([], classes) == {} and html.places([5], [[1]]) == {}
+
+
+def test_tokens_are_in_page_order():
+    tokens = [*html.page_tokens("<div>one<p>two</p>three<p>two</p></div>four")]
+    path = lambda *tags: __import__("functools").reduce(lambda a, t: html.number(t, a), tags, 0)
+    div, p = path("div"), path("div", "p")
+    assert tokens == [div, html.number("one", div), p, html.number("two", p), html.number("three", div), html.number("four", 0)]
