@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 
 from kerbstone.operators.ml import boosting, forest
-from kerbstone.plans.cut import cut, discard, scratch_root
+from kerbstone.plans.cut import cut, discard, scratch_root, settled
 
 
 @pytest.fixture(scope="module")
@@ -44,3 +44,33 @@ def test_only_a_cut_can_be_discarded(spark, train, tmp_path):
     with pytest.raises(ValueError):
         discard(spark.read.parquet(path))
     assert spark.read.parquet(path).count() == 300
+
+
+def test_what_a_result_took_is_removed_and_the_result_stays(spark, train):
+    before = held(spark)
+    inner = []
+
+    def make():
+        inner.append(cut(train.select("label")))
+        return settled(spark, lambda: cut(inner[0].where("label > 0"))).groupBy("label").count()
+
+    out = settled(spark, make)
+    assert len(held(spark) - before) == 1  # neither the two cuts nor the settled one in between
+    assert sum(r["count"] for r in out.collect()) == train.where("label > 0").count()
+    kept = cut(out)  # outside, a cut stays
+    discard(out)
+    assert kept.count() == 2 and len(held(spark) - before) == 1
+    with pytest.raises(ZeroDivisionError):
+        settled(spark, lambda: 1 / 0)
+    discard(kept)
+    assert held(spark) == before
+
+
+def test_a_fit_leaves_no_balanced_rows(spark, small):
+    import kerbstone.queries as Q
+    from kerbstone.operators.ml import classifiers, training
+
+    parts = training.split(Q._model_table(spark, small))
+    before = held(spark)
+    training.fitted("logistic_regression", parts.train, classifiers.Presets(iterations=5))
+    assert held(spark) == before
